@@ -23,7 +23,7 @@ from tidemark.operators.grid import (
 )
 from tidemark.operators.marks import high_water_mark, read_mark, scan_after
 from tidemark.operators.retype import retype_columns, retype_report
-from tidemark.plans.extract import TableKeys, dump_table, unique_by_table_keys
+from tidemark.plans.extract import FETCHES_PER_CHECKPOINT, TableKeys, dump_table, unique_by_table_keys
 from tidemark.plans.merge import merge_frame, merge_parquet
 from tidemark.plans.to_grid import convert_to_grid, open_grid
 from tidemark.functions.packing import pack
@@ -32,7 +32,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.parquet import scan_parquet
 from tidemark.sources.publish import OnConflict, write_parquet
 from tidemark.sources.storage import Storage
-from tidemark.sources.tables import FrameSource
+from tidemark.sources.tables import DEFAULT_FETCH_ROWS, FrameSource
 from tidemark.streaming.compaction import compact
 from tidemark.streaming.distinct import append_distinct
 
@@ -49,8 +49,7 @@ LINE_REST = [
     "l_shipdate",
 ]
 GRID_DIMENSIONS = ["event_date", "user_id"]
-ROWS_PER_CHECKPOINT = 20_000
-FILES_PER_BATCH = 16
+ROWS_PER_CHECKPOINT = FETCHES_PER_CHECKPOINT * DEFAULT_FETCH_ROWS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +78,9 @@ def merge_keyed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frame(delivered, LINE_KEY)
 
 
-def merge_keyed_group_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed de-duplication in the plan used for large inputs, on a key with very few values."""
-    return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
+def merge_keyed_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key with very few values, each holding a large share of all rows."""
+    return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], many_per_key=True)
 
 
 def dedup_prefer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,19 +341,13 @@ def url_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoint files of an extraction, compacted by a stream into one unique dataset."""
+    """Two deliveries of checkpoint files, compacted by a stream into one unique dataset."""
     base = scratch_path(spark, "compaction")
     lines = table(spark, sf_dir, "lineitem")
-    write_parquet(lines, f"{base}/incoming", max_records_per_file=ROWS_PER_CHECKPOINT)
-    compact(
-        spark,
-        f"{base}/incoming",
-        f"{base}/main",
-        f"{base}/progress",
-        lines.schema,
-        LINE_KEY,
-        files_per_batch=FILES_PER_BATCH,
-    )
+    for status in ("F", "O"):
+        delivery = lines.filter(F.col("l_linestatus") == status)
+        write_parquet(delivery, f"{base}/incoming", max_records_per_file=ROWS_PER_CHECKPOINT, mode="append")
+    compact(spark, f"{base}/incoming", f"{base}/main", f"{base}/progress", lines.schema, LINE_KEY)
     return spark.read.parquet(f"{base}/main")
 
 
@@ -385,7 +378,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "merge_keyed": merge_keyed,
         "merge_keyed_union": merge_keyed_union,
-        "merge_keyed_group_limit": merge_keyed_group_limit,
+        "merge_keyed_hot": merge_keyed_hot,
         "dedup_prefer_latest": dedup_prefer_latest,
         "merge_distinct": merge_distinct,
         "distinct_lines": distinct_lines,
@@ -463,7 +456,7 @@ def oracle_sql() -> dict[str, str]:
             LINE_REST,
             line_columns,
         ),
-        "merge_keyed_group_limit": _first_per_key(
+        "merge_keyed_hot": _first_per_key(
             "lineitem",
             group_key,
             [c for c in line_columns.split(", ") if c not in group_key],

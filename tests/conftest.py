@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         settings={
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.schema import TableSchema, TypedField
@@ -13,6 +15,10 @@ _EXACT_WIDENINGS: dict[type, tuple[type, ...]] = {
     T.FloatType: (T.DoubleType,),
     T.DateType: (T.TimestampType, T.TimestampNTZType),
 }
+# Every text that parses as a number starts like this; "inf" and "NaN" are fractional numbers.
+_INTEGER_START = r"^[\x00-\x20]*[-+.0-9]"
+_NUMBER_START = r"^[\x00-\x20]*[-+.0-9iInN]"
+_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _MICROS_PER_UNIT = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
 
@@ -45,10 +51,22 @@ def _raw_cast(column: Column, source: T.DataType, field: TypedField) -> Column:
             )
         return F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     if field.time_of_day and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60
-        return (seconds * 1_000_000 + F.extract(F.lit("SECOND"), column) * 1_000_000).cast("long")
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.extract(F.lit("SECOND"), column)
+        return (seconds * 1_000_000).cast("long")
     if source == target:
         return column
+    # A failing try_cast throws and catches inside the JVM, which is slow where many values fail, so
+    # values that cannot succeed are kept from it.
+    if isinstance(source, T.StringType) and isinstance(target, T.NumericType):
+        start = _INTEGER_START if isinstance(target, T.IntegralType) else _NUMBER_START
+        return F.when(column.rlike(start), column.try_cast(target))
+    if isinstance(source, T.NumericType) and isinstance(target, T.IntegralType):
+        limit = 2 ** (_INTEGER_BITS[type(target)] - 1)
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            fits = (column >= F.lit(float(-limit))) & (column < F.lit(float(limit)))
+        else:
+            fits = column.between(F.lit(-limit), F.lit(limit - 1))
+        return F.when(fits, column.try_cast(target))
     return column.try_cast(target)
 
 
@@ -63,7 +81,7 @@ def failed_cast(column: Column, source: T.DataType, target: T.DataType | TypedFi
         failed = failed | ~F.coalesce(casted.try_cast(source) == column, F.lit(False))
     if field.valid_range is not None:
         low, high = field.valid_range
-        failed = failed | ~F.coalesce(casted.between(F.lit(low), F.lit(high)), F.lit(False))
+        failed = failed | ~F.coalesce(casted.between(F.lit(Decimal(low)), F.lit(Decimal(high))), F.lit(False))
     return column.isNotNull() & failed
 
 

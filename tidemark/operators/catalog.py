@@ -73,9 +73,11 @@ def longest_key(keys: DataFrame) -> DataFrame:
     return keys.orderBy(F.size("columns").desc(), "position", "constraint_name").limit(1)
 
 
-def collect_keys(keys: DataFrame) -> list[tuple[str, ...]]:
-    """Keys of one table on the driver: one row per constraint."""
-    return [tuple(row["columns"]) for row in keys.orderBy("position", "constraint_name").collect()]
+def collect_keys(keys: DataFrame) -> list[tuple[str, tuple[str, ...]]]:
+    """(constraint type, columns) of one table's keys on the driver: one row per constraint."""
+    rows = keys.collect()
+    rows.sort(key=lambda row: (row["position"], row["constraint_name"]))
+    return [(row["constraint_type"], tuple(row["columns"])) for row in rows]
 
 
 def pick_longest(keys: Sequence[tuple[str, ...]]) -> tuple[str, ...] | None:

@@ -37,13 +37,18 @@ def dedup_by_key(
     keys: Sequence[str],
     prefer: Sequence[str | Column] = (),
     null_keys: str = "group",
+    many_per_key: bool = False,
 ) -> DataFrame:
     """Exactly one row per key.
 
     The survivor is the first row by ``prefer`` and then by all other columns ascending, NULLs
     last: a total order over the row, so the result does not depend on the order of arrival.
-    Catalyst turns ``row_number() = 1`` into a group limit that runs *before* the shuffle, so of a
-    key that holds a large share of all rows only one row per input task is sent.
+    Either plan below reduces each scan task's rows to one per key *before* the shuffle, so of a key
+    that holds a large share of all rows only one row per task is sent.
+
+    ``many_per_key`` chooses the plan, not the result: by default rows are ranked, which is the
+    faster one where most keys are unique; with many rows per key a minimum is, because it sorts by
+    the keys only.
 
     ``null_keys``: with ``"group"`` rows with equal keys form one group even where a key part is
     NULL; with ``"distinct"`` (the rule of an SQL UNIQUE constraint) such rows never conflict, and
@@ -55,14 +60,43 @@ def dedup_by_key(
         raise ValueError(f"Unknown rule for NULL keys: {null_keys}")
     if null_keys == "distinct":
         has_null = functools.reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in keys))
-        complete = dedup_by_key(df.filter(~has_null), keys, prefer)
+        complete = dedup_by_key(df.filter(~has_null), keys, prefer, many_per_key=many_per_key)
         return complete.unionByName(df.filter(has_null).distinct())
 
+    ties = [f for f in df.schema.fields if f.name not in set(keys)]
+    by_minimum = all(isinstance(p, str) for p in prefer) and all(_orderable(f.dataType) for f in ties)
+    if many_per_key and ties and by_minimum:
+        return _smallest_row(df, keys, prefer)
+    return _first_ranked_row(df, keys, [_as_order(p) for p in prefer], ties)
+
+
+def _smallest_row(df: DataFrame, keys: Sequence[str], prefer: Sequence[str]) -> DataFrame:
+    """The minimum of all other columns as one struct: partial and final aggregation, sorted by the
+    keys only.  A struct puts NULLs first, hence the flag before each column that may be NULL."""
+    by_name = {f.name: f for f in df.schema.fields}
+    order = [*prefer, *[name for name in df.columns if name not in {*keys, *prefer}]]
+    parts = []
+    for position, name in enumerate(order):
+        if by_name[name].nullable:
+            parts.append(F.col(f"`{name}`").isNull().alias(f"absent{position}"))
+        parts.append(F.col(f"`{name}`").alias(f"value{position}"))
+    smallest = df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(F.min(F.struct(*parts)).alias("__row"))
+    source = {name: f"__row.value{position}" for position, name in enumerate(order)}
+    return smallest.select(
+        *[
+            F.col(source.get(f.name, f"`{f.name}`")).alias(f.name, metadata=f.metadata or {})
+            for f in df.schema.fields
+        ]
+    )
+
+
+def _first_ranked_row(
+    df: DataFrame, keys: Sequence[str], preferred: list[Column], ties: list[T.StructField]
+) -> DataFrame:
+    """``row_number() = 1``, which Catalyst turns into a group limit on both sides of the shuffle."""
     rank = "__rank"
-    preferred = [_as_order(p) for p in prefer]
-    ties = [_tie_order(f) for f in df.schema.fields if f.name not in set(keys)]
-    # A key is never its own tie-break; a table of key columns only still needs some order.
-    order = preferred + ties or sort_order(keys)
+    # A table of key columns only still needs some order.
+    order = preferred + [_tie_order(f) for f in ties] or sort_order(keys)
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 

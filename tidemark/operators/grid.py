@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.packing import pack
+from tidemark.functions.packing import is_fill_collision, pack
 from tidemark.operators.coordinates import Coordinates, dimension_value, is_floating, with_position
 
 MAX_DIMENSIONS = 2
@@ -154,10 +154,19 @@ def dense_chunks(
     return chunks.sortWithinPartitions(ROW, BLOCK) if ordered else chunks
 
 
+def _per_cell(name: str, function: Callable[[Column], Column]) -> Column:
+    return F.transform(CELLS, lambda cell: function(cell[name]))
+
+
+def fill_collisions(name: str, precision: int) -> Column:
+    """How many cells of a chunk hold a real value that packs to the fill value."""
+    return F.size(F.filter(CELLS, lambda cell: is_fill_collision(cell[name], precision)))
+
+
 def variable_arrays(chunks: DataFrame, variables: Sequence[str]) -> DataFrame:
     """One array column of means per variable."""
     return chunks.select(
-        ROW, BLOCK, *[F.transform(CELLS, lambda cell, n=name: cell[n]).alias(name) for name in variables]
+        ROW, BLOCK, *[_per_cell(name, lambda value: value).alias(name) for name in variables]
     )
 
 
@@ -166,7 +175,7 @@ def packed_arrays(chunks: DataFrame, variables: Sequence[str], precision: int =
     return chunks.select(
         ROW,
         BLOCK,
-        *[F.transform(CELLS, lambda cell, n=name: pack(cell[n], precision)).alias(name) for name in variables],
+        *[_per_cell(name, lambda value: pack(value, precision)).alias(name) for name in variables],
     )
 
 

@@ -78,21 +78,15 @@ def resolve_schema(
 
 def resolve_keys(source: TableSource, schema_name: str, table_name: str) -> TableKeys:
     constraints = attempt_catalog(source.constraints)
-    keys = unique_keys(constraints, source.key_columns(), table_name, schema_name)
-    found = collect_keys(keys)
-    primary = {
-        name
-        for row in keys.filter(F.col("constraint_type") == "PRIMARY KEY").select("columns").collect()
-        for name in row["columns"]
-    }
-    nullable = {
-        row["column_name"]
-        for row in table_columns(source.columns(), table_name, schema_name)
-        .filter(F.col("is_nullable") == "YES")
-        .collect()
-    }
-    used = {name for key in found for name in key}
-    return TableKeys(tuple(found), frozenset((nullable & used) - primary))
+    found = collect_keys(unique_keys(constraints, source.key_columns(), table_name, schema_name))
+    # The columns of a primary key never hold NULL, whatever the catalog view says.
+    primary = {name for kind, key in found if kind == "PRIMARY KEY" for name in key}
+    candidates = {name for _, key in found for name in key} - primary
+    nullable: set[str] = set()
+    if candidates:
+        rows = table_columns(source.columns(), table_name, schema_name).filter(F.col("is_nullable") == "YES")
+        nullable = candidates & {row["column_name"] for row in rows.collect()}
+    return TableKeys(tuple(key for _, key in found), frozenset(nullable))
 
 
 def unique_by_table_keys(df: DataFrame, keys: TableKeys) -> DataFrame:

@@ -15,7 +15,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.functions.packing import FILL_VALUE, is_fill_collision, scale_factor, unpack
+from tidemark.functions.packing import FILL_VALUE, scale_factor, unpack
 from tidemark.functions.timetext import timestamp_text
 from tidemark.operators.coordinates import Coordinates, index_coordinates, read_coordinates
 from tidemark.operators.grid import (
@@ -26,6 +26,7 @@ from tidemark.operators.grid import (
     check_dimensions,
     dense_cells,
     dense_chunks,
+    fill_collisions,
     grid_variables,
     packed_arrays,
     pivot_mean,
@@ -80,10 +81,7 @@ def convert_to_grid(
             pivot_mean(data, dimensions, variables), coordinates, variables, chunk_cells, ordered=True
         )
         collisions = Observation("grid")
-        counters = [
-            F.sum(F.size(F.filter(CELLS, lambda cell, n=name: is_fill_collision(cell[n], precision)))).alias(name)
-            for name in variables
-        ]
+        counters = [F.sum(fill_collisions(name, precision)).alias(name) for name in variables]
         write_parquet(
             packed_arrays(chunks.observe(collisions, *counters), variables, precision),
             f"{staged}/cells",

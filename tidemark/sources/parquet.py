@@ -69,6 +69,9 @@ def checkpoint_paths(spark: SparkSession, working_path: str) -> list[str]:
 
 
 def scan_checkpoints(spark: SparkSession, working_path: str) -> DataFrame | None:
-    """All checkpoints of a working path as one relation; None if there are none."""
+    """All checkpoints of a working path as one relation; None if there are none.
+
+    One extraction writes all of them with one schema.
+    """
     paths = checkpoint_paths(spark, working_path)
-    return scan_parquet(spark, paths) if paths else None
+    return scan_parquet(spark, paths, uniform=True) if paths else None

@@ -8,8 +8,9 @@ from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.errors import MissingTableError
+from tidemark.functions.hosts import url_host
 from tidemark.functions.keyset import typed_literal
-from tidemark.operators.catalog import find_table
 
 DEFAULT_FETCH_ROWS = 50_000
 
@@ -87,8 +88,6 @@ class JdbcSource:
     @property
     def host(self) -> str:
         """Host part of the URL without ``jdbc:``, for naming the working directory."""
-        from tidemark.functions.hosts import url_host
-
         row = (
             self.spark.createDataFrame([(self.url.removeprefix("jdbc:"),)], "url string")
             .select(url_host("url").alias("host"))
@@ -226,7 +225,9 @@ class FrameSource:
         return self.spark.createDataFrame(rows, KEY_COLUMNS_COLUMNS)
 
     def _frame(self, schema_name: str, table_name: str) -> DataFrame:
-        return self._tables[find_table(self.tables(), table_name, schema_name)]
+        if (schema_name, table_name) not in self._tables:
+            raise MissingTableError(f"No table '{schema_name}.{table_name}' was given")
+        return self._tables[schema_name, table_name]
 
     def bounds(self, schema_name: str, table_name: str, column: str) -> tuple[Any, Any]:
         row = self._frame(schema_name, table_name).agg(F.min(column), F.max(column)).first()

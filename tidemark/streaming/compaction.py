@@ -1,9 +1,9 @@
 """Continuous compaction: arriving Parquet files are merged into one main dataset.
 
 A micro-batch is written, already unique, as a *run* beside the main dataset.  Runs are merged into
-main once they weigh ``rewrite_ratio`` times as much as main, and when the stream is drained.  Main
-at least doubles between rewrites at the default ratio, so a row is rewritten a logarithmic number
-of times instead of once per arriving file.
+main once they weigh ``rewrite_ratio`` times as much as main and at least ``rewrite_bytes``, and when
+the stream is drained.  So a row is rewritten a logarithmic number of times instead of once per
+arriving file.
 
 ``foreachBatch`` may repeat a batch.  That is harmless: a repeated batch overwrites its own run, and
 merging the same rows twice gives the same result, both by key and by whole row.
@@ -17,11 +17,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators.dedup import sorted_by
+from tidemark.operators.dedup import sort_order, sorted_by
 from tidemark.plans.merge import merge_frame
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import scan_parquet
-from tidemark.sources.publish import DEFAULT_CODEC, DEFAULT_LEVEL, publish, recover, write_parquet
+from tidemark.sources.publish import (
+    DEFAULT_CODEC,
+    DEFAULT_LEVEL,
+    publish,
+    recover,
+    swap_in,
+    write_metadata,
+    write_parquet,
+)
 from tidemark.sources.storage import Storage, name_of, parent_of
 
 POLL_INTERVAL = "2 seconds"
@@ -42,6 +50,7 @@ class Compaction:
     level: int | None = DEFAULT_LEVEL
     files_per_batch: int = 1000
     rewrite_ratio: float = 1.0
+    rewrite_bytes: int = 1 << 30
     delete_merged: bool = False
 
     @property
@@ -61,11 +70,12 @@ class Compaction:
         if batch.isEmpty():
             return
         unique = merge_frame(batch, self.keys, enforce_unique=True, schema=self.schema)
+        if self.keys:
+            unique = unique.sortWithinPartitions(*sort_order(self.keys))
         write_parquet(unique, f"{self.runs}/run_{batch_id:09}", self.codec, self.level, mode="overwrite")
         storage = Storage(self.spark)
-        if not storage.exists(self.main):
-            self.fold()
-        elif storage.size(self.runs) >= self.rewrite_ratio * storage.size(self.main):
+        main_bytes = storage.size(self.main) if storage.exists(self.main) else 0
+        if storage.size(self.runs) >= max(self.rewrite_bytes, self.rewrite_ratio * main_bytes):
             self.fold()
 
     def pending(self) -> list[str]:
@@ -74,12 +84,21 @@ class Compaction:
         return [run.path for run in storage.children(self.runs) if storage.exists(f"{run.path}/_SUCCESS")]
 
     def fold(self) -> None:
-        """Merge all runs with main.  Main is always an input and is replaced by a staged swap."""
+        """Merge all runs with main.  Main is always an input and is replaced by a staged swap.
+
+        A single run without a main is already unique and is moved into place.
+        """
         storage = Storage(self.spark)
         recover(storage, self.main)
         runs = self.pending()
         if not runs:
             return
+        metadata = self.schema.metadata if isinstance(self.schema, TableSchema) else None
+        if len(runs) == 1 and not storage.exists(self.main):
+            if metadata:
+                write_metadata(self.spark, runs[0], metadata)
+            swap_in(storage, runs[0], self.main)
+            return
         paths = ([self.main] if storage.exists(self.main) else []) + runs
         merged = merge_frame(
             scan_parquet(self.spark, paths),
@@ -87,7 +106,6 @@ class Compaction:
             enforce_unique=True,
             input_bytes=sum(storage.size(path) for path in paths),
         )
-        metadata = self.schema.metadata if isinstance(self.schema, TableSchema) else None
         publish(sorted_by(merged, self.keys) if self.keys else merged, self.main, self.codec, self.level, metadata)
         for run in runs:
             storage.delete(run)
