@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import error_text, plan_of, rows
+from tidemark.operators import coordinates, grid
 from tidemark.operators.coordinates import coordinate_values, index_coordinates
 from tidemark.operators.grid import (
     dense_cells,
@@ -41,13 +42,13 @@ def table(spark):
 def reference_grid(data, value):
     """The dense grid by plain loops."""
     places, days = sorted({r[0] for r in data}), sorted({r[1] for r in data})
-    grid = {}
+    cells = {}
     for p in places:
         for d in days:
             values = [r[value] for r in data if r[0] == p and r[1] == d]
             values = [v for v in values if v is not None and v == v]
-            grid[p, d] = sum(values) / len(values) if values else None
-    return grid
+            cells[p, d] = sum(values) / len(values) if values else None
+    return cells
 
 
 def test_coordinates_are_sorted_and_dense(spark):
@@ -72,6 +73,24 @@ def test_numbering_is_spread_over_tasks(spark):
     assert "Window" not in plan and "SinglePartition" not in plan
 
 
+def test_large_axis_is_not_broadcast(table, monkeypatch, spark):
+    axes = [index_coordinates(table, d) for d in ("place", "day")]
+    assert all(axis.may_be_broadcast for axis in axes)
+    chunks = dense_chunks(pivot_mean(table, ["place", "day"], ["v"]), axes, ["v"])
+    assert "BroadcastHashJoin" in plan_of(dense_cells(chunks, axes, ["v"]))
+    expected = rows(dense_cells(chunks, axes, ["v"]))
+    monkeypatch.setattr(coordinates, "BROADCAST_VALUES", 2)
+    monkeypatch.setattr(grid, "MARKERS_PER_TASK", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not axes[0].may_be_broadcast
+        chunks = dense_chunks(pivot_mean(table, ["place", "day"], ["v"]), axes, ["v"])
+        cells = dense_cells(chunks, axes, ["v"])
+        assert "Broadcast" not in plan_of(cells) and rows(cells) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
 def test_null_coordinate_is_an_error(spark):
     df = spark.createDataFrame([(1, 1.0), (None, 2.0)], "a int, v double")
     for action in (
@@ -197,15 +216,15 @@ def test_grid_job(spark, table, tmp_path):
             spark, source, output, ["place", "day"], ["n"], precision=1, chunk_cells=2, history="convert"
         )
     assert metadata["fill_collisions"] == {"v": 0}
-    grid = open_grid(spark, output)
-    assert grid.variables == ["v"]
-    assert grid.metadata["variables"]["v"]["attributes"] == {"units": "m"}
-    assert grid.metadata["variables"]["v"]["encoding"]["scale_factor"] == 0.1
-    assert grid.metadata["coordinates"]["place"] == {"long_name": "Place"}
-    attributes = grid.metadata["attributes"]
+    opened = open_grid(spark, output)
+    assert opened.variables == ["v"]
+    assert opened.metadata["variables"]["v"]["attributes"] == {"units": "m"}
+    assert opened.metadata["variables"]["v"]["encoding"]["scale_factor"] == 0.1
+    assert opened.metadata["coordinates"]["place"] == {"long_name": "Place"}
+    attributes = opened.metadata["attributes"]
     assert attributes["title"] == "Sample" and attributes["source"] == source and attributes["history"] == "convert"
     assert set(attributes) == {"title", "source", "history", "generated_by", "generation_date"}
-    values = {(r["place"], r["day"]): r["v"] for r in grid.values().collect()}
+    values = {(r["place"], r["day"]): r["v"] for r in opened.values().collect()}
     expected = reference_grid(ROWS, 2)
     assert values.keys() == expected.keys()
     for key, value in expected.items():

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from tidemark.errors import ConflictError, NothingToMergeError
@@ -119,8 +120,15 @@ def test_global_and_file_order(spark, tmp_path):
     big.write.parquet(str(tmp_path / "a"))
     big.limit(10).write.parquet(str(tmp_path / "b"))
     merge_parquet(spark, [str(tmp_path / "a"), str(tmp_path / "b")], str(tmp_path / "g"), keys=["k"])
-    ks = [r[0] for r in spark.read.parquet(str(tmp_path / "g")).select("k").collect()]
-    assert sorted(ks) == list(range(1, 5001))
+    written = spark.read.parquet(str(tmp_path / "g"))
+    assert sorted(r[0] for r in written.select("k").collect()) == list(range(1, 5001))
+    ranges = (
+        written.groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.min("k").alias("low"), F.max("k").alias("high"))
+        .orderBy("file")
+        .collect()
+    )
+    assert all(a["high"] < b["low"] for a, b in zip(ranges, ranges[1:]))
     with pytest.raises(ValueError):
         merge_parquet(spark, [str(tmp_path / "*")], str(tmp_path / "g"), order="other")
 

@@ -7,6 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.session import scratch_path
+from tidemark.sources.storage import Storage
+
+# An axis within both bounds is broadcast to number the cells; a larger one is joined by shuffle.
+BROADCAST_VALUES = 2_000_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 # monotonically_increasing_id() keeps the row number within a partition in its low 33 bits.
 _ROW_BITS = 33
@@ -20,6 +25,17 @@ class Coordinates:
     frame: DataFrame
     size: int
     path: str
+    stored_bytes: int
+
+    @property
+    def may_be_broadcast(self) -> bool:
+        """Decided from the counted values and the bytes on disk."""
+        return self.size <= BROADCAST_VALUES and self.stored_bytes <= BROADCAST_BYTES
+
+
+def join_axis(df: DataFrame, axis: DataFrame, on: str, coordinates: Coordinates) -> DataFrame:
+    """Join with a frame made from an axis, broadcast if the axis was found to be small."""
+    return df.join(F.broadcast(axis) if coordinates.may_be_broadcast else axis, on)
 
 
 def dimension_value(df: DataFrame, dimension: str) -> Column:
@@ -79,19 +95,15 @@ def read_coordinates(spark: SparkSession, path: str, dimension: str) -> Coordina
             .join(F.broadcast(offset_rows), "part")
             .select("value", (F.col("start") + row_in_partition).alias("position"))
         )
-    return Coordinates(dimension, frame, size, path)
+    return Coordinates(dimension, frame, size, path, Storage(spark).size(path))
 
 
 def with_position(df: DataFrame, coordinates: Coordinates, alias: str) -> DataFrame:
-    """Replace the dimension's column by its index.
-
-    A plain join: the coordinates' size grows with the data, so Catalyst decides from the written
-    files' size whether to broadcast them.
-    """
+    """Replace the dimension's column by its index."""
     lookup = coordinates.frame.select(
         F.col("value").alias(coordinates.dimension), F.col("position").alias(alias)
     )
-    return df.join(lookup, coordinates.dimension).drop(coordinates.dimension)
+    return join_axis(df, lookup, coordinates.dimension, coordinates).drop(coordinates.dimension)
 
 
 def is_floating(data_type: T.DataType) -> bool:

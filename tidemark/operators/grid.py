@@ -7,12 +7,20 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.packing import is_fill_collision, pack
-from tidemark.operators.coordinates import Coordinates, dimension_value, is_floating, with_position
+from tidemark.operators.coordinates import (
+    Coordinates,
+    dimension_value,
+    is_floating,
+    join_axis,
+    with_position,
+)
 
 MAX_DIMENSIONS = 2
 # Cells of the last dimension in one chunk row.  A shorter axis lies in one chunk, a longer one is
 # cut, so that a chunk stays small however long the axis grows.
 CHUNK_CELLS = 8192
+# Empty-chunk markers that one task makes.
+MARKERS_PER_TASK = 1_000_000
 
 ROW, BLOCK, CELLS = "row_position", "block", "cells"
 _LAST = "last_position"
@@ -112,6 +120,9 @@ def dense_chunks(
     if len(coordinates) == 2:
         located = with_position(located, coordinates[0], ROW)
         rows = coordinates[0].frame.select(F.col("position").alias(ROW))
+        marker_tasks = coordinates[0].size * blocks // MARKERS_PER_TASK
+        if marker_tasks > 1:
+            rows = rows.repartition(min(marker_tasks, coordinates[0].size), ROW)
     else:
         located = located.withColumn(ROW, F.lit(0).cast("long"))
         rows = cells.sparkSession.range(1).select(F.col("id").alias(ROW))
@@ -196,12 +207,12 @@ def dense_cells(
         .agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("axis"))
         .select(BLOCK, F.col("axis.value").alias("axis"))
     )
-    joined = chunks.join(axis, BLOCK)
+    joined = join_axis(chunks, axis, BLOCK, last)
     names = []
     if len(coordinates) == 2:
         first = coordinates[0]
         lookup = first.frame.select(F.col("position").alias(ROW), F.col("value").alias(first.dimension))
-        joined = joined.join(lookup, ROW)
+        joined = join_axis(joined, lookup, ROW, first)
         names.append(F.col(f"`{first.dimension}`"))
     exploded = joined.select(*names, F.explode(F.arrays_zip("axis", CELLS)).alias("cell"))
     return exploded.select(

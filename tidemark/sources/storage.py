@@ -39,12 +39,12 @@ class Storage:
     def glob(self, pattern: str) -> list[FoundPath]:
         """Visible files and directories that match, in path order."""
         file_system, hadoop_path = self._resolve(pattern)
-        statuses = file_system.globStatus(hadoop_path) or []
-        found = [FoundPath(s.getPath().toString(), s.isDirectory()) for s in statuses]
-        return sorted((f for f in found if not _hidden(f.path)), key=lambda f: f.path)
+        return _visible(file_system.globStatus(hadoop_path) or [])
 
     def children(self, path: str) -> list[FoundPath]:
-        return self.glob(f"{path.rstrip('/')}/*") if self.exists(path) else []
+        """Visible entries of a directory; none if it does not exist."""
+        file_system, hadoop_path = self._resolve(path)
+        return _visible(file_system.listStatus(hadoop_path)) if file_system.exists(hadoop_path) else []
 
     def size(self, path: str) -> int:
         file_system, hadoop_path = self._resolve(path)
@@ -70,6 +70,11 @@ class Storage:
         return self._spark.read.text(path, wholetext=True).first()[0]
 
 
+def _visible(statuses) -> list[FoundPath]:
+    found = [FoundPath(status.getPath().toString(), status.isDirectory()) for status in statuses]
+    return sorted((f for f in found if not _hidden(f.path)), key=lambda f: f.path)
+
+
 def _hidden(path: str) -> bool:
     return path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", "."))
 
