@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.casts import apply_schema
 from tidemark.functions.hosts import HOST_PATTERN, url_host
-from tidemark.operators.coordinates import coordinate_values, index_coordinates
+from tidemark.operators.coordinates import coordinate_values, index_axes, index_coordinates
 from tidemark.operators.dedup import bag_union, dedup_by_key, dedup_by_keys, distinct_rows, sorted_by
 from tidemark.operators.grid import (
     dense_cells,
@@ -251,7 +251,7 @@ def _dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_grid(spark: SparkSession, sf_dir: str, chunk_cells: int = 64):
     """Axes and chunks of mean value by date and user; chunks are cut to show several blocks."""
     events = _dated_events(spark, sf_dir)
-    axes = [index_coordinates(events, d) for d in GRID_DIMENSIONS]
+    axes = index_axes(events, GRID_DIMENSIONS)
     chunks = dense_chunks(pivot_mean(events, GRID_DIMENSIONS, ["value"]), axes, ["value"], chunk_cells)
     return axes, chunks
 

@@ -85,7 +85,8 @@ def test_conflicts(spark, tmp_path):
     dump_table(source_of(spark, [(1, "new", 0.0)]), "public", "t", output, on_conflict=OnConflict.OVERWRITE)
     assert rows(spark.read.parquet(output)) == [(1, "new", 0.0)]
     dump_table(source_of(spark, values_of(3)), "public", "t", output, on_conflict=OnConflict.APPEND)
-    assert [r[0] for r in rows(spark.read.parquet(output))] == [0, 1, 2]
+    # Row 1 was read again: its new state replaces the one in the output.
+    assert rows(spark.read.parquet(output)) == sorted(values_of(3), key=repr)
 
 
 def test_leftover_work_is_a_conflict_too(spark, tmp_path):
@@ -174,6 +175,40 @@ def test_configured_schema_wins_and_travels(spark, tmp_path):
     assert result.schema["id"].metadata == {"long_name": "Id"} and read_metadata(spark, output) == {"title": "T"}
 
 
+class SplittingSource(FrameSource):
+    """Records the ranges that a database would be asked for."""
+
+    splits_reads = True
+
+    def scan(self, schema_name, table_name, fetch_rows=0, split_on=None, split_range=(None, None)):
+        self.asked = [*getattr(self, "asked", []), (split_on, *split_range)]
+        return super().scan(schema_name, table_name)
+
+
+def test_each_range_is_split_on_its_own(spark, tmp_path):
+    output = str(tmp_path / "out")
+    frames = {("public", "t"): spark.createDataFrame(values_of(101), DDL)}
+    keys = {("public", "t"): [("PRIMARY KEY", ["id"])]}
+    source = SplittingSource(spark, frames, keys)
+    dump_table(source, "public", "t", output, slices=4)
+    ranges = [asked for asked in source.asked if asked[0]]
+    assert ranges == [("id", 0, 25), ("id", 25, 50), ("id", 50, 75), ("id", 75, 100)]
+    source = SplittingSource(spark, frames, keys)
+    write_parquet(spark.createDataFrame(values_of(61), DDL), str(tmp_path / "local" / "public.t.checkpoint_00000"))
+    report = dump_table(
+        source, "public", "t", output, on_conflict=OnConflict.APPEND, boundaries=[40, 80], fetch_rows=1
+    )
+    assert [asked for asked in source.asked if asked[0]] == [("id", 60, 80), ("id", 80, 100)]
+    assert report.rows_read == 40 and rows(spark.read.parquet(output)) == sorted(values_of(101), key=repr)
+
+
+def test_keys_can_be_given(spark, tmp_path):
+    output = str(tmp_path / "out")
+    source = source_of(spark, values_of(5) * 2, ())
+    dump_table(source, "public", "t", output, keys=TableKeys((("id",),)))
+    assert spark.read.parquet(output).count() == 5
+
+
 def test_several_keys(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "a", 3.0), (3, None, 4.0), (4, None, 4.0)], DDL)
     both = unique_by_table_keys(df, TableKeys((("id",), ("tag",)), frozenset({"tag"})))
@@ -206,6 +241,8 @@ def test_jdbc_options(spark):
     assert options["dbtable"] == '"public"."odd""name"' and options["fetchsize"] == "1000"
     assert options["preferTimestampNTZ"] == "true" and options["user"] == "u"
     assert source.options("t")["fetchsize"] == "50000"
-    split = source.split_options("id", 1, 900)
-    assert split == {"partitionColumn": '"id"', "lowerBound": "1", "upperBound": "900", "numPartitions": "32"}
+    plain = source.scan_options("public", "t")
+    assert "partitionColumn" not in plain and "partitionColumn" not in source.scan_options("public", "t", 9, "id")
+    split = source.scan_options("public", "t", 9, "id", (1, 900))
+    assert {k: v for k, v in split.items() if k not in source.options("t")} == {"partitionColumn": '"id"', "lowerBound": "1", "upperBound": "900", "numPartitions": "32"}
     assert source.bounds_query("s", "t", "k") == '(SELECT MIN("k") AS low, MAX("k") AS high FROM "s"."t") bounds'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -69,12 +71,21 @@ def index_coordinates(df: DataFrame, dimension: str, path: str | None = None) ->
         .withColumn("ordinal", F.monotonically_increasing_id())
     )
     ranged.write.parquet(path)
-    return read_coordinates(spark, path, dimension)
+    return read_coordinates(spark, path, dimension, ranged.schema)
 
 
-def read_coordinates(spark: SparkSession, path: str, dimension: str) -> Coordinates:
+def index_axes(df: DataFrame, dimensions: Sequence[str], directory: str | None = None) -> list[Coordinates]:
+    """``index_coordinates`` for several dimensions; their jobs run at the same time."""
+    directory = directory or scratch_path(df.sparkSession, "coordinates")
+    with ThreadPoolExecutor(len(dimensions)) as jobs:
+        return list(jobs.map(lambda d: index_coordinates(df, d, f"{directory}/{d}"), dimensions))
+
+
+def read_coordinates(
+    spark: SparkSession, path: str, dimension: str, schema: T.StructType | None = None
+) -> Coordinates:
     """Coordinates written by ``index_coordinates``."""
-    written = spark.read.parquet(path)
+    written = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     partition = F.shiftright("ordinal", _ROW_BITS)
     counts = sorted(
         (row["part"], row["n"])

@@ -38,6 +38,7 @@ def dedup_by_key(
     prefer: Sequence[str | Column] = (),
     null_keys: str = "group",
     many_per_key: bool = False,
+    not_compared: Sequence[str] = (),
 ) -> DataFrame:
     """Exactly one row per key.
 
@@ -52,7 +53,7 @@ def dedup_by_key(
 
     ``null_keys``: with ``"group"`` rows with equal keys form one group even where a key part is
     NULL; with ``"distinct"`` (the rule of an SQL UNIQUE constraint) such rows never conflict, and
-    only exact copies of them are dropped.
+    only copies of them are dropped: rows equal in all columns but ``not_compared``.
     """
     if not keys:
         raise ValueError("De-duplication by key needs at least one key column")
@@ -61,7 +62,8 @@ def dedup_by_key(
     if null_keys == "distinct":
         has_null = functools.reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in keys))
         complete = dedup_by_key(df.filter(~has_null), keys, prefer, many_per_key=many_per_key)
-        return complete.unionByName(df.filter(has_null).distinct())
+        compared = [name for name in df.columns if name not in set(not_compared)]
+        return complete.unionByName(df.filter(has_null).dropDuplicates(compared))
 
     ties = [f for f in df.schema.fields if f.name not in set(keys)]
     by_minimum = all(isinstance(p, str) for p in prefer) and all(_orderable(f.dataType) for f in ties)

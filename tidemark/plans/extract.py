@@ -34,6 +34,7 @@ LOGGER = logging.getLogger(__name__)
 # Fixed cadence: a checkpoint file closes after this many fetches.
 FETCHES_PER_CHECKPOINT = 150
 
+_AGE = "__age"
 _SPLITTABLE = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -89,11 +90,16 @@ def resolve_keys(source: TableSource, schema_name: str, table_name: str) -> Tabl
     return TableKeys(tuple(key for _, key in found), frozenset(nullable))
 
 
-def unique_by_table_keys(df: DataFrame, keys: TableKeys) -> DataFrame:
-    """One row per key for every key.  Rows with a NULL in a nullable key only lose exact copies,
-    because a database does not count them as conflicting either."""
+def unique_by_table_keys(df: DataFrame, keys: TableKeys, age: str | None = None) -> DataFrame:
+    """One row per key for every key; the lowest ``age`` survives, if such a column is named.
+
+    Rows with a NULL in a nullable key only lose copies, because a database does not count them as
+    conflicting either.
+    """
+    prefer = [age] if age else []
     for key in necessary_keys(keys.keys):
-        df = dedup_by_key(df, key, null_keys="distinct" if keys.may_be_null(key) else "group")
+        rule = "distinct" if keys.may_be_null(key) else "group"
+        df = dedup_by_key(df, key, prefer, rule, not_compared=prefer)
     return df
 
 
@@ -105,8 +111,15 @@ def post_process(
     codec: str = DEFAULT_CODEC,
     level: int | None = DEFAULT_LEVEL,
 ) -> None:
-    """Union everything that was read, make it unique, sort it by the longest key and publish."""
-    combined = unique_by_table_keys(bag_union(frames), keys)
+    """Union everything that was read, make it unique, sort it by the longest key and publish.
+
+    Of two rows of one key the one from the earlier frame survives.
+    """
+    if len(frames) == 1:
+        combined = unique_by_table_keys(frames[0], keys)
+    else:
+        aged = [frame.withColumn(_AGE, F.lit(age)) for age, frame in enumerate(frames)]
+        combined = unique_by_table_keys(bag_union(aged), keys, _AGE).drop(_AGE)
     if keys.longest:
         combined = sorted_by(combined, keys.longest)
     combined = attach_field_metadata(combined, {f.name: f.metadata for f in schema.fields if f.metadata})
@@ -136,6 +149,7 @@ def dump_table(
     slices: int = 1,
     boundaries: Sequence[Any] | None = None,
     incremental: bool = False,
+    keys: TableKeys | None = None,
 ) -> Extraction:
     """Read a table in parallel and publish it, unique by its keys and sorted by the longest one.
 
@@ -144,8 +158,11 @@ def dump_table(
     the read is parallel, so only the end of a *committed* range is a point to resume from: a run
     that finds checkpoints of an interrupted one continues after their largest key.
 
-    APPEND keeps the existing output's rows.  ``incremental`` then also skips source rows up to the
-    largest key of that output.
+    APPEND keeps the existing output's rows, but a row read again replaces its earlier state.
+    ``incremental`` then also skips source rows up to the largest key of that output.
+
+    ``keys`` are looked up in the source's catalog unless given; a database user that may only read
+    does not see constraints there.
     """
     spark: SparkSession = source.spark
     storage = Storage(spark)
@@ -156,7 +173,7 @@ def dump_table(
 
     find_table(attempt_catalog(source.tables), table_name, schema_name)
     schema = resolve_schema(source, schema_name, table_name, config_dir)
-    keys = resolve_keys(source, schema_name, table_name)
+    keys = keys or resolve_keys(source, schema_name, table_name)
 
     committed = [] if on_conflict is OnConflict.OVERWRITE else checkpoint_paths(spark, working)
     for path in leftovers:
@@ -171,33 +188,35 @@ def dump_table(
     if mark is None and incremental:
         mark = read_mark(existing, key)
 
-    split_on = None
-    if key:
-        key_type = schema.struct[key[0]].dataType
-        if isinstance(key_type, _SPLITTABLE):
-            split_on = key[0]
-    data = attempt(lambda: source.scan(schema_name, table_name, fetch_rows, split_on))
-    if split_on and boundaries is None and slices > 1:
-        boundaries = even_boundaries(*source.bounds(schema_name, table_name, split_on), slices)
-    if mark and boundaries:
-        boundaries = [b for b in boundaries if b > mark[key[0]]]
-    if key and keys.may_be_null(key):
-        remaining = scan_after_or_null(data, mark)
-    else:
-        remaining = scan_after(data, mark)
-    ranges = range_slices(key[0], boundaries, data.schema[key[0]].dataType) if key and boundaries else [None]
-
-    rows_read, written = 0, 0
-    first_number = len(committed)
-    for number, part in enumerate(ranges, start=first_number):
-        typed = apply_schema(
-            remaining if part is None else remaining.filter(part), schema, missing="null", extra="drop"
+    split_on = key[0] if key and isinstance(schema.struct[key[0]].dataType, _SPLITTABLE) else None
+    low = high = None
+    if split_on and (source.splits_reads or (slices > 1 and boundaries is None)):
+        low, high = source.bounds(schema_name, table_name, split_on)
+        if mark and low is not None:
+            low = max(low, mark[split_on])
+    if boundaries is None:
+        boundaries = even_boundaries(low, high, slices) if split_on else []
+    elif mark and key:
+        boundaries = [cut for cut in boundaries if cut > mark[key[0]]]
+
+    remaining_rows = scan_after_or_null if key and keys.may_be_null(key) else scan_after
+    rows_read = 0
+    edges = [low, *boundaries, high]
+    for number in range(len(boundaries) + 1):
+        # The parallel split covers the range that is read, not the whole table.
+        data = attempt(
+            lambda: source.scan(
+                schema_name, table_name, fetch_rows, split_on, (edges[number], edges[number + 1])
+            )
         )
-        path = f"{working}{CHECKPOINT_SUFFIX}_{number:05}"
+        part = remaining_rows(data, mark)
+        if boundaries:
+            part = part.filter(range_slices(key[0], boundaries, data.schema[key[0]].dataType)[number])
+        typed = apply_schema(part, schema, missing="null", extra="drop")
+        path = f"{working}{CHECKPOINT_SUFFIX}_{len(committed) + number:05}"
         rows = _write_checkpoint(typed, path, codec, level, fetch_rows * FETCHES_PER_CHECKPOINT)
         LOGGER.info("%d rows read from %s.%s into %s", rows, schema_name, table_name, path)
         rows_read += rows
-        written += 1
     if rows_read == 0 and not committed:
         _clean(storage, working)
         raise EmptySourceError(f"There is nothing to read from '{schema_name}.{table_name}'")
@@ -206,7 +225,7 @@ def dump_table(
     frames = [extracted] if existing is None else [extracted, existing]
     post_process(frames, output, keys, schema, codec, level)
     _clean(storage, working)
-    return Extraction(rows_read, mark, written)
+    return Extraction(rows_read, mark, len(boundaries) + 1)
 
 
 def _clean(storage: Storage, working: str) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.packing import FILL_VALUE, scale_factor, unpack
 from tidemark.functions.timetext import timestamp_text
-from tidemark.operators.coordinates import Coordinates, index_coordinates, read_coordinates
+from tidemark.operators.coordinates import Coordinates, index_axes, read_coordinates
 from tidemark.operators.grid import (
     BLOCK,
     CELLS,
@@ -74,7 +74,7 @@ def convert_to_grid(
     storage = Storage(spark)
     staged = staging_path(output)
     try:
-        coordinates = [index_coordinates(data, d, f"{staged}/coordinates/{d}") for d in dimensions]
+        coordinates = index_axes(data, dimensions, f"{staged}/coordinates")
         if any(axis.size == 0 for axis in coordinates):
             raise ValueError(f"There are no rows to grid in {source}")
         chunks = dense_chunks(

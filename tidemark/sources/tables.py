@@ -40,6 +40,7 @@ class TableSource(Protocol):
     spark: SparkSession
     host: str
     reflects_types: bool
+    splits_reads: bool
 
     def tables(self) -> DataFrame: ...
 
@@ -49,7 +50,14 @@ class TableSource(Protocol):
 
     def key_columns(self) -> DataFrame: ...
 
-    def scan(self, schema_name: str, table_name: str, fetch_rows: int, split_on: str | None) -> DataFrame: ...
+    def scan(
+        self,
+        schema_name: str,
+        table_name: str,
+        fetch_rows: int,
+        split_on: str | None,
+        split_range: tuple[Any, Any],
+    ) -> DataFrame: ...
 
     def bounds(self, schema_name: str, table_name: str, column: str) -> tuple[Any, Any]: ...
 
@@ -70,6 +78,7 @@ class JdbcSource:
     """
 
     reflects_types = True
+    splits_reads = True
 
     def __init__(
         self,
@@ -149,15 +158,30 @@ class JdbcSource:
         row = self._read(self.options(self.bounds_query(schema_name, table_name, column))).first()
         return row[0], row[1]
 
+    def scan_options(
+        self,
+        schema_name: str,
+        table_name: str,
+        fetch_rows: int = DEFAULT_FETCH_ROWS,
+        split_on: str | None = None,
+        split_range: tuple[Any, Any] = (None, None),
+    ) -> dict[str, str]:
+        options = self.options(qualified_name(schema_name, table_name), fetch_rows)
+        low, high = split_range
+        if split_on and low is not None and high is not None and low <= high:
+            options |= self.split_options(split_on, low, high)
+        return options
+
     def scan(
-        self, schema_name: str, table_name: str, fetch_rows: int = DEFAULT_FETCH_ROWS, split_on: str | None = None
+        self,
+        schema_name: str,
+        table_name: str,
+        fetch_rows: int = DEFAULT_FETCH_ROWS,
+        split_on: str | None = None,
+        split_range: tuple[Any, Any] = (None, None),
     ) -> DataFrame:
-        options = self.options(qualified_name(schema_name, table_name), fetch_rows)
-        if split_on:
-            low, high = self.bounds(schema_name, table_name, split_on)
-            if low is not None:
-                options |= self.split_options(split_on, low, high)
-        return self._read(options)
+        """The table, read by ``partitions`` range queries over ``split_range`` of ``split_on``."""
+        return self._read(self.scan_options(schema_name, table_name, fetch_rows, split_on, split_range))
 
     def scan_by_predicates(
         self,
@@ -179,6 +203,7 @@ class FrameSource:
     """DataFrames as tables, e.g. Parquet datasets or catalog tables that Spark can already read."""
 
     reflects_types = False
+    splits_reads = False
 
     def __init__(
         self,
@@ -234,8 +259,14 @@ class FrameSource:
         return row[0], row[1]
 
     def scan(
-        self, schema_name: str, table_name: str, fetch_rows: int = DEFAULT_FETCH_ROWS, split_on: str | None = None
+        self,
+        schema_name: str,
+        table_name: str,
+        fetch_rows: int = DEFAULT_FETCH_ROWS,
+        split_on: str | None = None,
+        split_range: tuple[Any, Any] = (None, None),
     ) -> DataFrame:
+        """The frame as it is: Spark splits its files."""
         return self._frame(schema_name, table_name)
 
 
