@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.casts import apply_schema
 from tidemark.functions.hosts import HOST_PATTERN, url_host
+from tidemark.functions.packing import pack
 from tidemark.operators.coordinates import coordinate_values, index_axes, index_coordinates
 from tidemark.operators.dedup import bag_union, dedup_by_key, dedup_by_keys, distinct_rows, sorted_by
 from tidemark.operators.grid import (
@@ -26,10 +27,8 @@ from tidemark.operators.retype import retype_columns, retype_report
 from tidemark.plans.extract import FETCHES_PER_CHECKPOINT, TableKeys, dump_table, unique_by_table_keys
 from tidemark.plans.merge import merge_frame, merge_parquet
 from tidemark.plans.to_grid import convert_to_grid, open_grid
-from tidemark.functions.packing import pack
 from tidemark.schema import columns_except, parse_configured_schema
 from tidemark.session import scratch_path
-from tidemark.sources.parquet import scan_parquet
 from tidemark.sources.publish import OnConflict, write_parquet
 from tidemark.sources.storage import Storage
 from tidemark.sources.tables import DEFAULT_FETCH_ROWS, FrameSource
@@ -236,9 +235,8 @@ def retype_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retype_report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retype_report(
-        table(spark, sf_dir, "events"), {"event_id": "int", "event_type": "int", "props": "double", "user_id": "tinyint"}
-    )
+    new_types = {"event_id": "int", "event_type": "int", "props": "double", "user_id": "tinyint"}
+    return retype_report(table(spark, sf_dir, "events"), new_types)
 
 
 # ------------------------------------------------------------------------------ grids

@@ -123,6 +123,9 @@ def test_union_is_by_name_and_the_first_fixes_the_schema(spark):
     assert union.schema == first.schema and rows(union) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError, match="lacks"):
         bag_union([second, first])
+    wide = spark.createDataFrame([("c", 2**40)], "y string, x bigint")
+    with pytest.raises(Exception, match="column 'x'"):
+        bag_union([first, wide]).collect()
     assert rows(bag_union([first, second], strict=False)) == sorted([(1, "a", None), (2, "b", 2.0)], key=repr)
 
 

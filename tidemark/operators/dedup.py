@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.functions.casts import strict_cast
+
 
 def _orderable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
@@ -140,7 +142,7 @@ def bag_union(frames: Sequence[DataFrame], strict: bool = True) -> DataFrame:
     """All rows of all frames, matched by column name.
 
     Strict: the first frame fixes columns and types, further columns are dropped and a missing
-    one is an error.  Otherwise missing columns become NULL and further ones are kept.
+    one, or a value that does not fit the first frame's type, is an error.  Otherwise missing columns become NULL and further ones are kept.
     """
     if not frames:
         raise ValueError("A union needs at least one input")
@@ -152,15 +154,10 @@ def bag_union(frames: Sequence[DataFrame], strict: bool = True) -> DataFrame:
         missing = [name for name in first.columns if name not in frame.columns]
         if missing:
             raise ValueError(f"Input {position} lacks the columns {missing}")
-        types = dict(frame.dtypes)
+        types = {f.name: f.dataType for f in frame.schema.fields}
         aligned.append(
             frame.select(
-                *[
-                    F.col(f"`{f.name}`")
-                    if types[f.name] == f.dataType.simpleString()
-                    else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-                    for f in first.schema.fields
-                ]
+                *[strict_cast(f.name, types[f.name], f.dataType).alias(f.name) for f in first.schema.fields]
             )
         )
     return functools.reduce(DataFrame.unionByName, aligned)
