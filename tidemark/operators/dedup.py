@@ -10,17 +10,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tidemark.functions.casts import strict_cast
 
 
-def _orderable(data_type: T.DataType) -> bool:
+def is_orderable(data_type: T.DataType) -> bool:
+    """Whether Spark can compare and hash values of the type."""
     if isinstance(data_type, T.ArrayType):
-        return _orderable(data_type.elementType)
+        return is_orderable(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return all(_orderable(f.dataType) for f in data_type.fields)
+        return all(is_orderable(f.dataType) for f in data_type.fields)
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def _tie_order(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    if not _orderable(field.dataType):
+    if not is_orderable(field.dataType):
         column = F.xxhash64(F.to_json(F.struct(column)))
     return column.asc_nulls_last()
 
@@ -68,7 +69,7 @@ def dedup_by_key(
         return complete.unionByName(df.filter(has_null).dropDuplicates(compared))
 
     ties = [f for f in df.schema.fields if f.name not in set(keys)]
-    by_minimum = all(isinstance(p, str) for p in prefer) and all(_orderable(f.dataType) for f in ties)
+    by_minimum = all(isinstance(p, str) for p in prefer) and all(is_orderable(f.dataType) for f in ties)
     if many_per_key and ties and by_minimum:
         return _smallest_row(df, keys, prefer)
     return _first_ranked_row(df, keys, [_as_order(p) for p in prefer], ties)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.errors import NothingToMergeError
 from tidemark.functions.casts import apply_schema
-from tidemark.operators.dedup import dedup_by_key, distinct_rows, sort_order, sorted_by
+from tidemark.operators.dedup import dedup_by_key, distinct_rows, is_orderable, sort_order, sorted_by
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import find_inputs, scan_parquet
 from tidemark.sources.publish import DEFAULT_CODEC, DEFAULT_LEVEL, publish, read_metadata
@@ -26,7 +26,7 @@ def spread_if_small(df: DataFrame, columns: Sequence[str], input_bytes: int | No
 
     The grouping reuses this partitioning, so the plan still has one shuffle.
     """
-    if input_bytes is None or input_bytes > SPREAD_BELOW_BYTES:
+    if not columns or input_bytes is None or input_bytes > SPREAD_BELOW_BYTES:
         return df
     tasks = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(tasks, *[F.col(f"`{name}`") for name in columns])
@@ -45,7 +45,8 @@ def merge_frame(
     elif enforce_unique:
         merged = distinct_rows(spread_if_small(df, df.columns, input_bytes))
     else:
-        merged = df
+        # For the writer's sake: one task per large row group would compress it on one core.
+        merged = spread_if_small(df, [f.name for f in df.schema.fields if is_orderable(f.dataType)], input_bytes)
     return apply_schema(merged, schema) if schema is not None else merged
 
 
