@@ -372,7 +372,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return merge_keyed(spark, "/root/testdata/sf0.001")
 
 
+def _training_text() -> tuple[dict, dict]:
+    """Queries and SQL of the training-text operators and their pipeline, if those are installed."""
+    try:
+        from tidemark.llm import registry
+
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("tidemark.llm", "tidemark.llm.registry", "corpus_pipeline"):
+            raise
+        return {}, {}
+    found, sql = registry.queries(), registry.oracle_sql()
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | _training_text()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | _training_text()[1]
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "merge_keyed": merge_keyed,
         "merge_keyed_union": merge_keyed_union,
@@ -438,7 +463,7 @@ def _packed_sql(value: str, scale: str) -> str:
     return f"COALESCE(CAST(round_even(CAST(CAST({value} AS FLOAT) AS DOUBLE) / {scale}, 0) AS INTEGER), -999)"
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     line_columns = ", ".join(LINE_KEY[:1] + LINE_REST[:2] + LINE_KEY[1:] + LINE_REST[2:])
     order_rest = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     order_columns = "o_orderkey, " + ", ".join(order_rest)

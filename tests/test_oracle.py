@@ -42,18 +42,18 @@ def rows_of(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.core_oracle_sql()) == set(registry.core_queries())
 
 
 def test_entry_has_rows(spark):
     assert registry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.core_queries()))
 def test_query_agrees_with_sql(spark, database, name):
-    frame = registry.queries()[name](spark, SF_DIR)
+    frame = registry.core_queries()[name](spark, SF_DIR)
     found = rows_of(frame.columns, frame.collect())
-    cursor = database.execute(registry.oracle_sql()[name])
+    cursor = database.execute(registry.core_oracle_sql()[name])
     names = [column[0] for column in cursor.description]
     expected = rows_of(names, cursor.fetchall())
     assert sorted(frame.columns) == sorted(names)
