@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import read_table
+from tidemark.llm.language import identify_language
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import score_quality
+from tidemark.llm.recipes import dedup_exact
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +22,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False)
 
 
+def op5_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(read_table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_encode(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return encoded.select(
@@ -29,12 +36,38 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+# Equal texts and the row that stays, as one window over the text without white space.
+OP5_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
+    FROM documents
+), grouped AS (
+    SELECT doc_id, bare, count(*) OVER (PARTITION BY bare) AS group_size,
+        first_value(doc_id) OVER (PARTITION BY bare ORDER BY length(text) DESC, doc_id) AS keep_id
+    FROM texts
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM grouped
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_packing": op3_packing,
+        "op5_chunk_recipes": op5_chunk_recipes,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_language_codes": op8_language_codes,
+        "op10_quality_discriminant": op10_quality_discriminant,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chunk_recipes": OP5_SQL}
