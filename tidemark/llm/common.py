@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,3 +35,10 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def blobs(column: pa.Array) -> list[bytes | None]:
     """The values of a string or binary Arrow column as bytes, without decoding them."""
     return column.cast(pa.binary()).to_pylist()
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows, so that what a task makes of a batch stays small beside it."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

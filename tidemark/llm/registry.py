@@ -11,6 +11,7 @@ from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import read_table
 from tidemark.llm.language import identify_language
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.quality import score_quality
 from tidemark.llm.recipes import dedup_exact
 
@@ -40,6 +41,10 @@ def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read_table(spark, sf_dir, "documents"))
 
 
+def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chunk_recipes": op5_chunk_recipes,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_codes": op8_language_codes,
+        "op9_posting_lists": op9_posting_lists,
         "op10_quality_discriminant": op10_quality_discriminant,
     }
 
