@@ -14,11 +14,16 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.quality import score_quality
 from tidemark.llm.recipes import dedup_exact
+from tidemark.llm.warc import archive_pages
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read_table(spark, sf_dir, "pages"), smallest_revisit=0)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False)
 
@@ -49,6 +54,27 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+# Base 32 of the SHA-1: each five hex digits are twenty bits, four digits of base 32.
+OP2_SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), digested AS (
+    SELECT page_id, payload, list_aggregate(list_transform(range(32), lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + (CAST('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS BIGINT), 5) AS INTEGER)
+                >> CAST(15 - 5 * (k % 4) AS INTEGER)) % 32, 1)), 'string_agg', '') AS digest
+    FROM payloads
+), placed AS (
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes, digest,
+        min(page_id) OVER (PARTITION BY payload) AS first_page
+    FROM digested
+)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+    CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
+FROM placed
+"""
+
 # Equal texts and the row that stays, as one window over the text without white space.
 OP5_SQL = r"""
 WITH texts AS (
@@ -66,6 +92,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS te
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_warc_segments": op2_warc_segments,
         "op3_packing": op3_packing,
         "op5_chunk_recipes": op5_chunk_recipes,
         "op7_byte_bpe": op7_byte_bpe,
@@ -76,4 +103,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chunk_recipes": OP5_SQL}
+    return {"op2_warc_segments": OP2_SQL, "op5_chunk_recipes": OP5_SQL}
