@@ -19,9 +19,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import blobs
+from tidemark.llm.common import blobs, small
 
-CACHED_PIECES = 1 << 20
+CACHED_PIECES = 1 << 19
 
 
 class PrefixVocabulary:
@@ -184,7 +184,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        for batch in batches:
+        for batch in small(batches):
             ids, counts, decoded = [], [], []
             for text in blobs(batch.column(1)):
                 entries = encode_text(path, compiled, (text or b"").decode("utf-8", "replace"))

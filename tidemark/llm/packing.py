@@ -11,50 +11,90 @@ the pieces of its length.  Only the histogram, at most ``size`` rows, comes to t
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import blobs, written
+from tidemark.llm.common import blobs, small, written
 
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 19
 PLACE_SCHEMA = "length long, first_rank long, n long, first_sequence long, offset long"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+class WordTokenizer:
+    """Ids, as little-endian unsigned 32-bit integers, of words and of the pieces the tokenizer makes of them.
+
+    The tokenizer drops white space and joins nothing across it, so words are encoded one by one and
+    each distinct word once; likewise, of a Latin word its pieces in lower case.
+    """
+
+    # The tokenizer's own split, and the end of the scripts that Python lowers as it does.
+    SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+    LATIN_END = "\u0370"
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def encode(self, text: bytes) -> bytes:
+        words = text.split()
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:
+            self._learn({word for word in words if word not in self.words} if len(self.words) < CACHED_WORDS else set(words))
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, new: set[bytes]) -> None:
+        if len(self.words) >= CACHED_WORDS:
+            self.words.clear()
+            self.pieces.clear()
+        split, others = {}, []
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            if max(text) < self.LATIN_END:
+                split[word] = self.SPLIT.findall(unicodedata.normalize("NFC", text).lower())
+            else:
+                others.append((word, text))
+        self._learn_pieces({piece for pieces in split.values() for piece in pieces if piece not in self.pieces})
+        for word, pieces in split.items():
+            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
+        found = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+        for (word, _), encoding in zip(others, found):
+            self.words[word] = np.array(encoding.ids, "<u4").tobytes()
+
+    def _learn_pieces(self, new: set[str]) -> None:
+        """Encode the pieces in one go: each ends with its one token that ends a word."""
+        ordered = list(new)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(ordered)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) != len(ordered):
+            raise ValueError("the tokenizer does not split words as expected")
+        data, at = ids.tobytes(), 0
+        for piece, stop in zip(ordered, stops):
+            self.pieces[piece] = data[at:stop]
+            at = stop
 
 
 @lru_cache(maxsize=2)
-def _words_of(path: str) -> dict[bytes, bytes]:
-    """Per process: ids, as little-endian unsigned 32-bit integers, of words met before."""
-    return {}
+def _tokenizer(path: str) -> WordTokenizer:
+    """One per process: the words it has met stay known to later tasks."""
+    return WordTokenizer(path)
 
 
 def token_bytes(path: str, text: bytes) -> bytes:
-    """Ids of ``text``, each as a little-endian unsigned 32-bit integer.
-
-    The tokenizer drops white space and joins nothing across it, so words are encoded one by one
-    and each distinct word once.
-    """
-    known, words = _words_of(path), text.split()
-    try:
-        return b"".join(map(known.__getitem__, words))
-    except KeyError:
-        pass
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    new = list(dict.fromkeys(word for word in words if word not in known))
-    texts = [word.decode("utf-8", "replace") for word in new]
-    for word, found in zip(new, _tokenizer(path).encode_batch(texts, add_special_tokens=False)):
-        known[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-    return b"".join(map(known.__getitem__, words))
+    """Ids of ``text``, each as a little-endian unsigned 32-bit integer."""
+    return _tokenizer(path).encode(text)
 
 
 def cut_documents(
@@ -70,7 +110,7 @@ def cut_documents(
     end, step = end_id.to_bytes(4, "little"), 4 * size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
                 ids = token_bytes(tokenizer_path, text or b"") + end

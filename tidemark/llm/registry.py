@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import read_table
 from tidemark.llm.language import identify_language
+from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.quality import score_quality
@@ -20,6 +21,10 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=75)
+
+
 def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(read_table(spark, sf_dir, "pages"), smallest_revisit=0)
 
@@ -92,6 +97,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS te
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_warc_segments": op2_warc_segments,
         "op3_packing": op3_packing,
         "op5_chunk_recipes": op5_chunk_recipes,
