@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import read_table
+from tidemark.llm.context_tree import score_texts
 from tidemark.llm.language import identify_language
 from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
@@ -37,6 +38,10 @@ def op5_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(read_table(spark, sf_dir, "documents"))
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"), depth=5)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_encode(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return encoded.select(
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc_segments": op2_warc_segments,
         "op3_packing": op3_packing,
         "op5_chunk_recipes": op5_chunk_recipes,
+        "op6_context_tree": op6_context_tree,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language_codes": op8_language_codes,
         "op9_posting_lists": op9_posting_lists,
