@@ -11,6 +11,7 @@ the pieces of its length.  Only the histogram, at most ``size`` rows, comes to t
 from __future__ import annotations
 
 import heapq
+import itertools
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,7 +24,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import blobs, small, written
 
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 20
 PLACE_SCHEMA = "length long, first_rank long, n long, first_sequence long, offset long"
 
 
@@ -47,35 +48,38 @@ class WordTokenizer:
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            self._learn({word for word in words if word not in self.words} if len(self.words) < CACHED_WORDS else set(words))
-        return b"".join(map(self.words.__getitem__, words))
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.pieces = {}, {}
+        known, new = self.words, set()
+        split = [text.split() for text in texts]
+        for words in split:
+            new.update(itertools.filterfalse(known.__contains__, words))
+        self._learn(new)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def _learn(self, new: set[bytes]) -> None:
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
-            self.pieces.clear()
-        split, others = {}, []
+        split, others = [], []
         for word in new:
             text = word.decode("utf-8", "replace")
-            if max(text) < self.LATIN_END:
-                split[word] = self.SPLIT.findall(unicodedata.normalize("NFC", text).lower())
-            else:
+            if max(text) >= self.LATIN_END:
                 others.append((word, text))
-        self._learn_pieces({piece for pieces in split.values() for piece in pieces if piece not in self.pieces})
-        for word, pieces in split.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
+                continue
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text)
+            text = text.lower()
+            split.append((word, (text,) if text.isalpha() else self.SPLIT.findall(text)))
+        distinct = {piece for _, pieces in split for piece in pieces}
+        self._learn_pieces([piece for piece in distinct if piece not in self.pieces])
+        of = self.pieces.__getitem__
+        for word, pieces in split:
+            self.words[word] = of(pieces[0]) if len(pieces) == 1 else b"".join(map(of, pieces))
         found = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
         for (word, _), encoding in zip(others, found):
             self.words[word] = np.array(encoding.ids, "<u4").tobytes()
 
-    def _learn_pieces(self, new: set[str]) -> None:
+    def _learn_pieces(self, ordered: list[str]) -> None:
         """Encode the pieces in one go: each ends with its one token that ends a word."""
-        ordered = list(new)
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(ordered)], add_special_tokens=False)[0].ids, "<u4")
         stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(stops) != len(ordered):
@@ -92,9 +96,9 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def token_bytes(path: str, text: bytes) -> bytes:
-    """Ids of ``text``, each as a little-endian unsigned 32-bit integer."""
-    return _tokenizer(path).encode(text)
+def token_bytes(path: str, texts: list[bytes]) -> list[bytes]:
+    """Ids of each text, each id as a little-endian unsigned 32-bit integer."""
+    return _tokenizer(path).encode(texts)
 
 
 def cut_documents(
@@ -110,10 +114,11 @@ def cut_documents(
     end, step = end_id.to_bytes(4, "little"), 4 * size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, 32):
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
-                ids = token_bytes(tokenizer_path, text or b"") + end
+            texts = [text or b"" for text in blobs(batch.column(1))]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(tokenizer_path, texts)):
+                ids += end
                 total = len(ids) // 4
                 for at in range(0, len(ids), step):
                     part = ids[at : at + step]
