@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import blobs, remainder, written
+from tidemark.llm.common import blobs, remainder, small, written
 
 # Classes of bytes counted in a text.
 SPACE, UPPER, LOWER, DIGIT, SYMBOL, OTHER = range(6)
@@ -161,6 +161,33 @@ def fit_discriminant(labelled: DataFrame, shrink_pooled: float = 0.2, shrink_dia
     return Discriminant(float(ratio), tuple(classes))
 
 
+def taught_discriminant(table: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> Discriminant:
+    """Learned from the rows of ``table`` (id, x) outside the held fold that ``labels`` (doc_id, quality) has."""
+    marks = (
+        labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1))
+        .groupBy("id")
+        .agg(F.max("label").alias("label"))
+    )
+    taught = table.where(remainder(F.col("id"), folds) != held_fold)
+    return fit_discriminant(taught.join(marks, "id").select("label", "x"))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held_fold: int = 0, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``threshold``, with all their columns; no row is moved."""
+    model = taught_discriminant(document_statistics(docs, text_col=text_col), labels, folds, held_fold)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            x = np.array([statistics(text or b"") for text in blobs(batch.column(place))]).reshape(-1, len(STATISTICS))
+            yield batch.filter(pa.array(model.scores(x) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held_fold: int = 0
 ) -> DataFrame:
@@ -174,13 +201,7 @@ def score_quality(
     """
     table = written(document_statistics(docs), "statistics")
     held = remainder(F.col("id"), folds) == held_fold
-    marks = (
-        labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1))
-        .groupBy("id")
-        .agg(F.max("label").alias("label"))
-    )
-    model = fit_discriminant(table.where(~held).join(marks, "id").select("label", "x"))
+    model = taught_discriminant(table, labels, folds, held_fold)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import ASCII_SPACE, blobs, written
@@ -61,16 +60,16 @@ def chunk_ends(places: np.ndarray, start: int, stop: int) -> list[int]:
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (``digest`` random, ``content`` NULL) and of the distinct chunks of a batch."""
-    row_id = TaskContext.get().partitionId() << 33
     for batch in batches:
         if not batch.num_rows:
             continue
+        rows = batch.column(2).to_pylist()
         texts = [(text or b"").translate(None, ASCII_SPACE) for text in blobs(batch.column(1))]
         places = cut_places(b"".join(texts))
         chunks: dict[bytes, tuple[bytes, list[int], list[int]]] = {}
         variants: list[tuple[bytes, bytes, list[int], list[int]]] = []
         hashes, start = [], 0
-        for row, text in enumerate(texts):
+        for row_id, text in zip(rows, texts):
             hashes.append(hashlib.sha256(text).digest())
             at = start
             for order, end in enumerate(chunk_ends(places, start, start + len(text))):
@@ -80,22 +79,21 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held is None:
                     held = chunks[digest] = (content, [], [])
                 elif held[0] != content:  # another content with that digest: a row of its own
-                    variants.append((digest, content, [row_id + row], [order]))
+                    variants.append((digest, content, [row_id], [order]))
                     at = end
                     continue
-                held[1].append(row_id + row)
+                held[1].append(row_id)
                 held[2].append(order)
                 at = end
             start += len(text)
-        rows = np.arange(row_id, row_id + len(texts), dtype=np.int64)
         found = [(digest, *held) for digest, held in chunks.items()] + variants
         none = [None] * len(found)
-        spread = [struct.pack("<q", int(r) * 0x9E3779B97F4A7C1 & 0x7FFFFFFFFFFFFFFF) for r in rows]
+        spread = [struct.pack("<Q", row_id * 0x9E3779B97F4A7C15 % 2**64) for row_id in rows]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(spread + [f[0] for f in found], pa.binary()),
                 pa.array([None] * len(texts) + [f[1] for f in found], pa.binary()),
-                pa.array([[r] for r in rows.tolist()] + [f[2] for f in found], pa.list_(pa.int64())),
+                pa.array([[row_id] for row_id in rows] + [f[2] for f in found], pa.list_(pa.int64())),
                 pa.array([None] * len(texts) + [f[3] for f in found], pa.list_(pa.int32())),
                 pa.array(batch.column(0).to_pylist() + none, pa.int64()),
                 pa.array(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist() + none, pa.int64()),
@@ -103,7 +101,6 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["digest", "content", "row_ids", "orders", "id", "code_points", "sha256"],
         )
-        row_id += len(texts)
 
 
 def _verify_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,14 +131,13 @@ def _verify_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def document_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id``, ``row_id``, ``code_points``, ``sha256`` (binary) and ``recipe``.
+def document_recipes(source: DataFrame) -> DataFrame:
+    """Per row of ``source`` (id, text, row_id): ``id``, ``row_id``, ``code_points``, ``sha256`` (binary), ``recipe``.
 
     ``recipe`` is the list of (place, verified chunk identifier) of the text without ASCII white space;
     equal texts have equal recipes and others have not.  The table is written before it is returned.
     """
-    source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    cut = source.mapInArrow(
+    cut = source.select("id", "text", "row_id").mapInArrow(
         _cut_texts,
         "digest binary, content binary, row_ids array<long>, orders array<int>, id long, code_points long, sha256 binary",
     )
@@ -162,6 +158,39 @@ def document_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def exact_groups(source: DataFrame) -> DataFrame:
+    """Per row of ``source`` (id, text, row_id): ``id``, ``row_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
+    recipes = document_recipes(source)
+    best = F.max(
+        F.struct(
+            "code_points",
+            F.col("id").isNotNull().alias("named"),
+            F.bitwise_not("id").alias("id"),
+            F.bitwise_not("row_id").alias("row"),
+        )
+    )
+    groups = recipes.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("group_size"))
+    return recipes.join(groups, "recipe").select(
+        "id",
+        "row_id",
+        F.bitwise_not(F.col("best.id")).alias("keep_id"),
+        "group_size",
+        (F.bitwise_not(F.col("best.row")) == F.col("row_id")).alias("kept"),
+        F.lower(F.hex("sha256")).alias("text_sha256"),
+    )
+
+
+def keep_distinct_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stay, by the rule of ``dedup_exact``, with all their columns.
+
+    ``docs`` has to be read the same way twice (a table), since its rows are numbered.
+    """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    source = numbered.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col("_row").alias("row_id"))
+    kept = exact_groups(source).where("kept").select(F.col("row_id").alias("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+
+
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Which of the rows with equal texts, white space apart, stays.
 
@@ -172,15 +201,11 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     columns are not looked at.  A group's best row comes from a partial aggregate and joins back, so
     a text that a third of all rows have is not gathered.
     """
-    recipes = document_recipes(docs, id_col, text_col)
-    best = F.max(
-        F.struct("code_points", F.col("id").isNotNull().alias("named"), F.bitwise_not("id").alias("id"), F.bitwise_not("row_id").alias("row"))
+    source = docs.select(
+        docs[id_col].cast("long").alias("id"),
+        docs[text_col].cast("string").alias("text"),
+        F.monotonically_increasing_id().alias("row_id"),
     )
-    groups = recipes.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("group_size"))
-    return recipes.join(groups, "recipe").select(
-        F.col("id").alias(id_col),
-        F.bitwise_not(F.col("best.id")).alias("keep_id"),
-        "group_size",
-        (F.bitwise_not(F.col("best.row")) == F.col("row_id")).alias("kept"),
-        F.lower(F.hex("sha256")).alias("text_sha256"),
+    return exact_groups(source).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256"
     )

@@ -16,9 +16,12 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.quality import score_quality
 from tidemark.llm.recipes import dedup_exact
+from tidemark.llm.surrogates import replace_personal_data
 from tidemark.llm.warc import archive_pages
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+# A user of the library passes a secret of their own; this one makes results repeatable.
+SURROGATE_KEY = "tidemark"
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -34,6 +37,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False)
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_personal_data(docs, SURROGATE_KEY)
+
+
 def op5_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(read_table(spark, sf_dir, "documents"))
 
@@ -105,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_warc_segments": op2_warc_segments,
         "op3_packing": op3_packing,
+        "op4_surrogates": op4_surrogates,
         "op5_chunk_recipes": op5_chunk_recipes,
         "op6_context_tree": op6_context_tree,
         "op7_byte_bpe": op7_byte_bpe,
