@@ -55,18 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
-    storage = Storage(spark)
-    return sum(storage.size(f"{sf_dir}/{name}.parquet") for name in names)
-
-
 # ------------------------------------------------------------------------------ merge and dedup
 
 
 def merge_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per order and line number, sorted by both."""
     lines = table(spark, sf_dir, "lineitem")
-    merged = merge_frame(lines, LINE_KEY, input_bytes=table_bytes(spark, sf_dir, "lineitem"))
+    merged = merge_frame(lines, LINE_KEY)
     return sorted_by(merged, LINE_KEY)
 
 
@@ -90,7 +85,7 @@ def dedup_prefer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = columns_except(table(spark, sf_dir, "documents"), ["doc_id"])
-    return merge_frame(documents, enforce_unique=True, input_bytes=table_bytes(spark, sf_dir, "documents"))
+    return merge_frame(documents, enforce_unique=True)
 
 
 def distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +266,7 @@ def grid_pivot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid_pivot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = pivot_mean_wide(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_returnflag", "l_quantity")
+    wide = pivot_mean_wide(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_returnflag", "l_quantity", ["A", "N", "R"])
     return wide.select("l_suppkey", *[F.round(c, 6).alias(f"mean_{c.lower()}") for c in ("A", "N", "R")])
 
 

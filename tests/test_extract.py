@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from helpers import rows
 from tidemark.errors import ConflictError, EmptySourceError, MissingTableError
-from tidemark.operators.catalog import collect_keys, find_table, longest_key, pick_longest, unique_keys
+from tidemark.operators.catalog import collect_keys, find_table, pick_longest, unique_keys
 from tidemark.plans.extract import TableKeys, dump_table, resolve_keys, resolve_schema, unique_by_table_keys
 from tidemark.sources.parquet import scan_checkpoints
 from tidemark.sources.publish import OnConflict, read_metadata, write_parquet
@@ -57,7 +57,6 @@ def test_keys_from_the_catalog(spark):
     )
     keys = unique_keys(constraints, usage, "t", "s")
     assert collect_keys(keys) == [("PRIMARY KEY", ("id",)), ("UNIQUE", ("a", "b", "c"))]
-    assert longest_key(keys).first()["columns"] == ["a", "b", "c"]
     assert pick_longest([("a", "b"), ("c", "d"), ("e",)]) == ("a", "b") and pick_longest([]) is None
 
 
@@ -141,6 +140,42 @@ def test_incremental_append_keeps_rows_with_null_keys(spark, tmp_path):
     assert rows(spark.read.parquet(output)) == sorted(second, key=repr)
 
 
+def killed_before_publish(spark, tmp_path, monkeypatch, source, **options):
+    """A run that commits its checkpoints and ends before it publishes."""
+    import tidemark.plans.extract as extract
+
+    def stop(*args, **more):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(extract, "post_process", stop)
+        with pytest.raises(KeyboardInterrupt):
+            dump_table(source, "public", "t", str(tmp_path / "out"), **options)
+
+
+@pytest.mark.parametrize("keys", [(), [("PRIMARY KEY", ["id"])], [("UNIQUE", ["id", "tag"])], [("UNIQUE", ["tag"])]])
+@pytest.mark.parametrize("slices", [(1, 1), (3, 2), (2, 4)])
+def test_a_run_killed_before_publishing_is_resumed_row_by_row(spark, tmp_path, monkeypatch, keys, slices):
+    values = [(k, None if k % 3 else f"t{k}", float(k)) for k in range(1, 11)]
+    if not keys or "tag" in keys[0][1]:
+        values += [(4, None, 4.0), (4, None, 4.0)]
+    killed_before_publish(spark, tmp_path, monkeypatch, source_of(spark, values, keys), slices=slices[0])
+    report = dump_table(
+        source_of(spark, values, keys), "public", "t", str(tmp_path / "out"), on_conflict=OnConflict.APPEND, slices=slices[1]
+    )
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted(values, key=repr)
+    assert report.rows_read == 0
+
+
+def test_equal_rows_with_null_keys_stay_and_reappear_once(spark, tmp_path):
+    output, keys = str(tmp_path / "out"), [("UNIQUE", ["tag"])]
+    values = [(1, None, 1.0), (1, None, 1.0), (2, "a", 2.0)]
+    dump_table(source_of(spark, values, keys), "public", "t", output)
+    assert rows(spark.read.parquet(output)) == sorted(values, key=repr)
+    dump_table(source_of(spark, values, keys), "public", "t", output, on_conflict=OnConflict.APPEND)
+    assert rows(spark.read.parquet(output)) == sorted(values, key=repr)
+
+
 def test_empty_source(spark, tmp_path):
     with pytest.raises(EmptySourceError):
         dump_table(source_of(spark, []), "public", "t", str(tmp_path / "out"))

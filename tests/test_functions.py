@@ -12,12 +12,12 @@ from tidemark.functions.timetext import timestamp_text
 
 def test_hosts(spark):
     cases = {
-        "https://www.example.com": "example.com",
-        "www.example.com": "example.com",
-        "example.com": "example.com",
-        "example.com/path/to/resource?param1=value": "example.com",
-        "www.example.com:9090": "example.com",
-        "https://www.example.net:9090/path/to/resource": "example.net",
+        "http://www.tide.test": "tide.test",
+        "www.gauge.test": "gauge.test",
+        "river.test": "river.test",
+        "river.test/stations/12?day=3": "river.test",
+        "www.river.test:8443": "river.test",
+        "https://www.delta.test:8443/a/b": "delta.test",
         "postgresql+psycopg://user:p%40ss@db.example.org:5432/name": "db.example.org",
         "postgresql://user@db-1.example.org/name?x=a@b": "db-1.example.org",
         "postgresql://me:a!#$?c@10.0.0.1:5432/x": "10.0.0.1",

@@ -140,15 +140,15 @@ def test_all_variables_share_one_shuffle(spark):
 
 
 def test_pivot_wide(table):
-    wide = pivot_mean_wide(table, "place", "day", "v")
+    wide = pivot_mean_wide(table, "place", "day", "v", ["a", "b", "c"])
     assert wide.columns == ["place", "a", "b", "c"]
     assert {r["place"]: (r["a"], r["b"], r["c"]) for r in wide.collect()} == {
         1: (2.0, None, None),
         2: (None, 0.125, -9.99),
         3: (4.0, None, None),
     }
-    with pytest.raises(ValueError, match="more than 2"):
-        pivot_mean_wide(table, "place", "day", "v", max_columns=2)
+    with pytest.raises(Exception, match="unlisted value: c"):
+        pivot_mean_wide(table, "place", "day", "v", ["a", "b"]).collect()
 
 
 @pytest.mark.parametrize("chunk_cells", [1, 2, 3, 100])

@@ -18,25 +18,47 @@ _EXACT_WIDENINGS: dict[type, tuple[type, ...]] = {
 # Every text that parses as a number starts like this; "inf" and "NaN" are fractional numbers.
 _INTEGER_START = r"^[\x00-\x20]*[-+.0-9]"
 _NUMBER_START = r"^[\x00-\x20]*[-+.0-9iInN]"
+_INFINITE_TEXT = r"^[\x00-\x20]*[-+]?inf"
 _INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _MICROS_PER_UNIT = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
 
 def _always_safe(source: T.DataType, target: T.DataType) -> bool:
-    if source == target or isinstance(target, T.StringType):
+    if source == target or (isinstance(target, T.StringType) and not isinstance(source, T.BinaryType)):
         return True
     return isinstance(target, _EXACT_WIDENINGS.get(type(source), ()))
 
 
 def _needs_round_trip(source: T.DataType, target: T.DataType) -> bool:
-    """Numeric casts that can silently drop digits; narrowing a double to a float is accepted."""
-    if not (isinstance(source, T.NumericType) and isinstance(target, T.NumericType)):
+    """Every cast that can change a value silently: all but exact widenings and reading text.
+
+    Text is parsed, and many texts mean one value, so it does not come back as it was.  A double may lose
+    digits as a float; that is accepted.
+    """
+    if isinstance(source, T.StringType) or (isinstance(source, T.DoubleType) and isinstance(target, T.FloatType)):
         return False
-    if isinstance(source, T.FractionalType) and isinstance(target, T.IntegralType):
-        return True
-    if isinstance(source, (T.IntegralType, T.DecimalType)):
-        return isinstance(target, (T.FloatType, T.DoubleType, T.DecimalType))
-    return False
+    return source != target and not isinstance(target, _EXACT_WIDENINGS.get(type(source), ()))
+
+
+def _comes_back(source: T.DataType, target: T.DataType) -> bool:
+    """Whether the target can be cast to the source again; intervals are made from numbers by their unit."""
+    atomic = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if not (isinstance(source, atomic) and isinstance(target, atomic)):
+        return False
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(source, times) == isinstance(target, times)
+
+
+def _becomes_infinite(column: Column, casted: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """True where a finite value is beyond the range of a float or double; None where that cannot be."""
+    if not isinstance(target, (T.FloatType, T.DoubleType)):
+        return None
+    infinite = F.abs(casted) == F.lit(float("inf"))
+    if isinstance(source, T.StringType):
+        return infinite & ~F.lower(column).rlike(_INFINITE_TEXT)
+    if isinstance(source, (T.FloatType, T.DoubleType)):
+        return infinite & (F.abs(column) != F.lit(float("inf")))
+    return infinite
 
 
 def _raw_cast(column: Column, source: T.DataType, field: TypedField) -> Column:
@@ -77,8 +99,14 @@ def failed_cast(column: Column, source: T.DataType, target: T.DataType | TypedFi
         return F.lit(False)
     casted = _raw_cast(column, source, field)
     failed = casted.isNull()
-    if _needs_round_trip(source, field.data_type):
+    if isinstance(source, T.BinaryType) and isinstance(field.data_type, T.StringType):
+        failed = failed | ~F.is_valid_utf8(casted)
+    elif not field.time_of_day and _needs_round_trip(source, field.data_type) and _comes_back(source, field.data_type):
+        # NaN equals itself in Spark; a boolean comes back as 0 or 1.
         failed = failed | ~F.coalesce(casted.try_cast(source) == column, F.lit(False))
+    infinite = _becomes_infinite(column, casted, source, field.data_type)
+    if infinite is not None:
+        failed = failed | F.coalesce(infinite, F.lit(False))
     if field.valid_range is not None:
         low, high = field.valid_range
         failed = failed | ~F.coalesce(casted.between(F.lit(Decimal(low)), F.lit(Decimal(high))), F.lit(False))

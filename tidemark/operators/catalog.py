@@ -68,11 +68,6 @@ def unique_keys(
     )
 
 
-def longest_key(keys: DataFrame) -> DataFrame:
-    """The key with most columns; the primary key, then the name, decides a tie."""
-    return keys.orderBy(F.size("columns").desc(), "position", "constraint_name").limit(1)
-
-
 def collect_keys(keys: DataFrame) -> list[tuple[str, tuple[str, ...]]]:
     """(constraint type, columns) of one table's keys on the driver: one row per constraint."""
     rows = keys.collect()

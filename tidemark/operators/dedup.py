@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.casts import strict_cast
 
+_OWN_NUMBER = "__own_number"
+
 
 def is_orderable(data_type: T.DataType) -> bool:
     """Whether Spark can compare and hash values of the type."""
@@ -41,7 +43,6 @@ def dedup_by_key(
     prefer: Sequence[str | Column] = (),
     null_keys: str = "group",
     many_per_key: bool = False,
-    not_compared: Sequence[str] = (),
 ) -> DataFrame:
     """Exactly one row per key.
 
@@ -55,18 +56,19 @@ def dedup_by_key(
     the keys only.
 
     ``null_keys``: with ``"group"`` rows with equal keys form one group even where a key part is
-    NULL; with ``"distinct"`` (the rule of an SQL UNIQUE constraint) such rows never conflict, and
-    only copies of them are dropped: rows equal in all columns but ``not_compared``.
+    NULL; with ``"distinct"`` (the rule of an SQL UNIQUE constraint) such rows never conflict and all
+    stay, equal ones too.  They are told apart by a number of their own beside the keys, so there is
+    one scan and one shuffle however many rows have a NULL.
     """
     if not keys:
         raise ValueError("De-duplication by key needs at least one key column")
     if null_keys not in ("group", "distinct"):
         raise ValueError(f"Unknown rule for NULL keys: {null_keys}")
-    if null_keys == "distinct":
+    if null_keys == "distinct" and any(df.schema[key].nullable for key in keys):
         has_null = functools.reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in keys))
-        complete = dedup_by_key(df.filter(~has_null), keys, prefer, many_per_key=many_per_key)
-        compared = [name for name in df.columns if name not in set(not_compared)]
-        return complete.unionByName(df.filter(has_null).dropDuplicates(compared))
+        own = F.when(has_null, F.monotonically_increasing_id())
+        numbered = df.withColumn(_OWN_NUMBER, own)
+        return dedup_by_key(numbered, [*keys, _OWN_NUMBER], prefer, many_per_key=many_per_key).drop(_OWN_NUMBER)
 
     ties = [f for f in df.schema.fields if f.name not in set(keys)]
     by_minimum = all(isinstance(p, str) for p in prefer) and all(is_orderable(f.dataType) for f in ties)

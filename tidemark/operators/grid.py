@@ -77,23 +77,23 @@ def pivot_mean(df: DataFrame, dimensions: Sequence[str], variables: Sequence[str
 
 
 def pivot_mean_wide(
-    df: DataFrame, row_dimension: str, column_dimension: str, variable: str, max_columns: int = 1000
+    df: DataFrame, row_dimension: str, column_dimension: str, variable: str, columns: Sequence[Any]
 ) -> DataFrame:
-    """One row per value of ``row_dimension`` and one mean column per value of ``column_dimension``.
+    """One row per value of ``row_dimension`` and one mean column per value in ``columns``.
 
-    The number of columns is checked before their values come to the driver; a longer axis belongs
-    in the long or chunked form.
+    The caller names the values of ``column_dimension``; another value in the data raises.  A long axis
+    belongs in the long or chunked form.
     """
-    values = df.select(dimension_value(df, column_dimension)).distinct()
-    found = [row[0] for row in values.limit(max_columns + 1).collect()]
-    if len(found) > max_columns:
-        raise ValueError(f"'{column_dimension}' has more than {max_columns} values: too many for columns")
+    column = F.col(f"`{column_dimension}`")
+    unlisted = F.raise_error(F.concat(F.lit(f"'{column_dimension}' has an unlisted value: "), column.cast("string")))
+    listed = F.when(column.isin(list(columns)), column).otherwise(unlisted.cast(df.schema[column_dimension].dataType))
     return (
         df.select(
             dimension_value(df, row_dimension), dimension_value(df, column_dimension), F.col(f"`{variable}`")
         )
+        .withColumn(column_dimension, listed)
         .groupBy(row_dimension)
-        .pivot(column_dimension, sorted(found))
+        .pivot(column_dimension, list(columns))
         .agg(_mean(df, variable))
     )
 

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.keyset import after_mark
+from tidemark.functions.keyset import after_mark, typed_literal
 
 
 def high_water_mark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,11 +33,21 @@ def scan_after(df: DataFrame, mark: Mapping[str, Any] | None) -> DataFrame:
     return df if not mark else df.filter(after_mark(mark, df.schema))
 
 
-def scan_after_or_null(df: DataFrame, mark: Mapping[str, Any] | None) -> DataFrame:
-    """Rows after ``mark`` and those the mark cannot order because a key part is NULL."""
+def scan_after_or_null(
+    df: DataFrame, mark: Mapping[str, Any] | None, key_ranges_read: bool = False
+) -> DataFrame:
+    """Rows after ``mark`` and those the mark cannot order because a key part is NULL.
+
+    ``key_ranges_read``: whole ranges of the first key column up to the mark were read, NULLs of that
+    column with the first range.  Then only NULLs in later parts beyond the mark's first value are left.
+    """
     if not mark:
         return df
     predicate = after_mark(mark, df.schema)
-    for key in mark:
-        predicate = predicate | F.col(f"`{key}`").isNull()
+    first, *rest = mark
+    for key in rest if key_ranges_read else mark:
+        unordered = F.col(f"`{key}`").isNull()
+        if key_ranges_read:
+            unordered = unordered & (F.col(f"`{first}`") > typed_literal(mark[first], df.schema[first].dataType))
+        predicate = predicate | unordered
     return df.filter(predicate)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -93,16 +94,32 @@ def resolve_keys(source: TableSource, schema_name: str, table_name: str) -> Tabl
 def unique_by_table_keys(df: DataFrame, keys: TableKeys, age: str | None = None) -> DataFrame:
     """One row per key for every key; the lowest ``age`` survives, if such a column is named.
 
-    Rows with a NULL in a nullable key only lose copies, because a database does not count them as
+    Rows with a NULL in a nullable key all stay, because a database does not count them as
     conflicting either.
     """
     prefer = [age] if age else []
     for key in necessary_keys(keys.keys):
         rule = "distinct" if keys.may_be_null(key) else "group"
-        df = dedup_by_key(df, key, prefer, rule, not_compared=prefer)
+        df = dedup_by_key(df, key, prefer, rule)
     return df
 
 
+def _replaced(existing: DataFrame, extracted: DataFrame, keys: TableKeys) -> DataFrame:
+    """Rows of ``existing`` without those that no key compares and ``extracted`` has as well.
+
+    A row with a NULL in every key, read again, would stay twice; as often as it was read again it is
+    dropped here, and rows that equal each other in the source stay as often as they are there.
+    """
+    necessary = necessary_keys(keys.keys)
+    if not necessary or not all(keys.may_be_null(key) for key in necessary):
+        return existing
+    in_key = [functools.reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in key)) for key in necessary]
+    unordered = functools.reduce(lambda a, b: a & b, in_key)
+    return existing.filter(~unordered).unionByName(
+        existing.filter(unordered).exceptAll(extracted.select(*existing.columns).filter(unordered))
+    )
+
+
 def post_process(
     frames: Sequence[DataFrame],
     target: str,
@@ -115,6 +132,7 @@ def post_process(
 
     Of two rows of one key the one from the earlier frame survives.
     """
+    frames = [frames[0], *(_replaced(frame, frames[0], keys) for frame in frames[1:])]
     if len(frames) == 1:
         combined = unique_by_table_keys(frames[0], keys)
     else:
@@ -156,7 +174,8 @@ def dump_table(
     The table is read in ``slices`` ranges of the longest key's first column (or at the given
     ``boundaries``), one committed checkpoint dataset per range, in ascending order.  Inside a range
     the read is parallel, so only the end of a *committed* range is a point to resume from: a run
-    that finds checkpoints of an interrupted one continues after their largest key.
+    that finds checkpoints of an interrupted one continues after their largest key.  Without a key there
+    is one range, so a committed checkpoint is the whole read and is published as it is.
 
     APPEND keeps the existing output's rows, but a row read again replaces its earlier state.
     ``incremental`` then also skips source rows up to the largest key of that output.
@@ -199,17 +218,20 @@ def dump_table(
     elif mark and key:
         boundaries = [cut for cut in boundaries if cut > mark[key[0]]]
 
-    remaining_rows = scan_after_or_null if key and keys.may_be_null(key) else scan_after
     rows_read = 0
     edges = [low, *boundaries, high]
-    for number in range(len(boundaries) + 1):
+    complete = bool(committed) and not key
+    for number in range(0 if complete else len(boundaries) + 1):
         # The parallel split covers the range that is read, not the whole table.
         data = attempt(
             lambda: source.scan(
                 schema_name, table_name, fetch_rows, split_on, (edges[number], edges[number + 1])
             )
         )
-        part = remaining_rows(data, mark)
+        if key and keys.may_be_null(key):
+            part = scan_after_or_null(data, mark, key_ranges_read=bool(committed))
+        else:
+            part = scan_after(data, mark)
         if boundaries:
             part = part.filter(range_slices(key[0], boundaries, data.schema[key[0]].dataType)[number])
         typed = apply_schema(part, schema, missing="null", extra="drop")
@@ -225,7 +247,7 @@ def dump_table(
     frames = [extracted] if existing is None else [extracted, existing]
     post_process(frames, output, keys, schema, codec, level)
     _clean(storage, working)
-    return Extraction(rows_read, mark, len(boundaries) + 1)
+    return Extraction(rows_read, mark, 0 if complete else len(boundaries) + 1)
 
 
 def _clean(storage: Storage, working: str) -> None:

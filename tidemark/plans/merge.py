@@ -5,48 +5,34 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from tidemark.errors import NothingToMergeError
 from tidemark.functions.casts import apply_schema
-from tidemark.operators.dedup import dedup_by_key, distinct_rows, is_orderable, sort_order, sorted_by
+from tidemark.operators.dedup import dedup_by_key, distinct_rows, sort_order, sorted_by
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import find_inputs, scan_parquet
 from tidemark.sources.publish import DEFAULT_CODEC, DEFAULT_LEVEL, publish, read_metadata
 from tidemark.sources.storage import Storage
 
-# Below this many input bytes a single large row group can leave most cores idle, so rows are
-# spread by key before de-duplication.  Above it, de-duplication runs inside each scan task first,
-# which bounds what a hot key sends; a hot key's share of an input this small fits one task.
-SPREAD_BELOW_BYTES = 256 * 1024 * 1024
-
-
-def spread_if_small(df: DataFrame, columns: Sequence[str], input_bytes: int | None) -> DataFrame:
-    """Hash-partition a small input by the columns that the next step groups by.
-
-    The grouping reuses this partitioning, so the plan still has one shuffle.
-    """
-    if not columns or input_bytes is None or input_bytes > SPREAD_BELOW_BYTES:
-        return df
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks, *[F.col(f"`{name}`") for name in columns])
-
-
 def merge_frame(
     df: DataFrame,
     keys: Sequence[str] | None = None,
     enforce_unique: bool = False,
     schema: TableSchema | T.StructType | None = None,
-    input_bytes: int | None = None,
+    prefer: Sequence[str | Column] = (),
+    many_per_key: bool = False,
 ) -> DataFrame:
-    """Keys given: one row per key (whatever ``enforce_unique`` says); else unique rows; else all."""
+    """Keys given: one row per key (whatever ``enforce_unique`` says); else unique rows; else all.
+
+    ``prefer`` and ``many_per_key`` are those of ``dedup_by_key``.  The plan is the same at every size.
+    """
     if keys:
-        merged = dedup_by_key(spread_if_small(df, keys, input_bytes), keys)
+        merged = dedup_by_key(df, keys, prefer, many_per_key=many_per_key)
     elif enforce_unique:
-        merged = distinct_rows(spread_if_small(df, df.columns, input_bytes))
+        merged = distinct_rows(df)
     else:
-        # For the writer's sake: one task per large row group would compress it on one core.
-        merged = spread_if_small(df, [f.name for f in df.schema.fields if is_orderable(f.dataType)], input_bytes)
+        merged = df
     return apply_schema(merged, schema) if schema is not None else merged
 
 
@@ -77,24 +63,21 @@ def merge_parquet(
     level: int | None = DEFAULT_LEVEL,
     order: str = "global",
     uniform: bool = False,
+    prefer: Sequence[str | Column] = (),
+    many_per_key: bool = False,
 ) -> None:
     """Merge the inputs and publish the result at ``target``, which may be one of the inputs.
 
     A keyed merge is sorted by its keys, NULLs last.  ``order="global"`` also orders the files
     among each other, at the price of a range shuffle of the already unique rows;
-    ``order="files"`` sorts inside each file only.
+    ``order="files"`` sorts inside each file only.  Of rows with one key the first by ``prefer`` stays;
+    ``many_per_key`` is the faster plan where keys repeat often.
     """
     if order not in ("global", "files"):
         raise ValueError(f"Unknown order: {order}")
     paths = merge_inputs(spark, inputs, target)
     storage = Storage(spark)
-    merged = merge_frame(
-        scan_parquet(spark, paths, uniform),
-        keys,
-        enforce_unique,
-        schema,
-        sum(storage.size(path) for path in paths),
-    )
+    merged = merge_frame(scan_parquet(spark, paths, uniform), keys, enforce_unique, schema, prefer, many_per_key)
     if keys:
         merged = sorted_by(merged, keys) if order == "global" else merged.sortWithinPartitions(*sort_order(keys))
     metadata = schema.metadata if isinstance(schema, TableSchema) else None

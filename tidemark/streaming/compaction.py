@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators.dedup import sort_order, sorted_by
+from tidemark.operators.dedup import sort_order
 from tidemark.plans.merge import merge_frame
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import scan_parquet
@@ -86,7 +86,7 @@ class Compaction:
     def fold(self) -> None:
         """Merge all runs with main.  Main is always an input and is replaced by a staged swap.
 
-        A single run without a main is already unique and is moved into place.
+        Main is sorted inside each file, like every run, however many runs were folded.  A single run without a main is already unique and is moved into place.
         """
         storage = Storage(self.spark)
         recover(storage, self.main)
@@ -100,13 +100,10 @@ class Compaction:
             swap_in(storage, runs[0], self.main)
             return
         paths = ([self.main] if storage.exists(self.main) else []) + runs
-        merged = merge_frame(
-            scan_parquet(self.spark, paths),
-            self.keys,
-            enforce_unique=True,
-            input_bytes=sum(storage.size(path) for path in paths),
-        )
-        publish(sorted_by(merged, self.keys) if self.keys else merged, self.main, self.codec, self.level, metadata)
+        merged = merge_frame(scan_parquet(self.spark, paths), self.keys, enforce_unique=True)
+        if self.keys:
+            merged = merged.sortWithinPartitions(*sort_order(self.keys))
+        publish(merged, self.main, self.codec, self.level, metadata)
         for run in runs:
             storage.delete(run)
 
