@@ -24,6 +24,7 @@ from tidemark.operators.grid import (
 )
 from tidemark.operators.marks import high_water_mark, read_mark, scan_after
 from tidemark.operators.retype import retype_columns, retype_report
+from tidemark.operators.statistics import PERCENTILES, daily_means, day_statistics, rolling_means
 from tidemark.plans.extract import FETCHES_PER_CHECKPOINT, TableKeys, dump_table, unique_by_table_keys
 from tidemark.plans.merge import merge_frame, merge_parquet
 from tidemark.plans.to_grid import convert_to_grid, open_grid
@@ -363,6 +364,40 @@ def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_distinct(spark, stream, LINE_KEY, f"{base}/out", f"{base}/progress")
 
 
+def _rounded(statistics: DataFrame) -> DataFrame:
+    """Means and quantiles without the last digits, which depend on the order of addition."""
+    kept = ["user_id", "month_nu", "day_nu", "count_nu", "earliest", "latest"]
+    return statistics.select(*kept, *[F.round(c, 6).alias(c) for c in statistics.columns if c not in kept])
+
+
+def stats_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(day_statistics(table(spark, sf_dir, "events"), "user_id", "ts", "value"))
+
+
+def stats_daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = daily_means(table(spark, sf_dir, "events"), "user_id", "ts", "value")
+    return _rounded(day_statistics(days, "user_id", "ts", "value"))
+
+
+def stats_rolling7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = daily_means(table(spark, sf_dir, "events"), "user_id", "ts", "value")
+    return _rounded(day_statistics(rolling_means(days, "user_id", "ts", "value"), "user_id", "ts", "value"))
+
+
+def dedup_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose priority key is NULL never conflict; of the others one per customer and priority stays."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderpriority", F.nullif("o_orderpriority", F.lit("1-URGENT"))
+    )
+    kept = dedup_by_key(orders, ["o_custkey", "o_orderpriority"], ["o_orderkey"], null_keys="distinct")
+    return kept.select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+def retype_report_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A discount has two decimals: as decimal(10,1) most values would change, so they count as failures."""
+    return retype_report(table(spark, sf_dir, "lineitem"), {"l_discount": "decimal(10,1)", "l_quantity": "decimal(10,1)"})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return merge_keyed(spark, "/root/testdata/sf0.001")
 
@@ -426,6 +461,11 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grid_chunks": grid_chunks,
         "grid_chunk_values": grid_chunk_values,
         "grid_job": grid_job,
+        "stats_hourly": stats_hourly,
+        "stats_daily_mean": stats_daily_mean,
+        "stats_rolling7": stats_rolling7,
+        "dedup_nullable_key": dedup_nullable_key,
+        "retype_report_decimal": retype_report_decimal,
         "url_host": url_hosts,
         "compaction_stream": compaction_stream,
         "compaction_stream_rows": compaction_stream_rows,
@@ -458,6 +498,26 @@ def _packed_sql(value: str, scale: str) -> str:
     return f"COALESCE(CAST(round_even(CAST(CAST({value} AS FLOAT) AS DOUBLE) / {scale}, 0) AS INTEGER), -999)"
 
 
+def _statistics_sql(source: str) -> str:
+    """Statistics of ``source`` (user_id, ts, value), rounded as the query does."""
+    quantiles = ", ".join(f"round(quantile_cont(value, {share}), 6) AS {name}" for name, share in PERCENTILES.items())
+    return (
+        "SELECT user_id, CAST(month(ts) AS INTEGER) AS month_nu, CAST(day(ts) AS INTEGER) AS day_nu,"
+        " count(value) AS count_nu, min(ts) AS earliest, max(ts) AS latest, round(max(value), 6) AS max,"
+        f" round(avg(value), 6) AS mean, round(min(value), 6) AS min, {quantiles},"
+        f" round(stddev_samp(value), 6) AS std FROM ({source}) GROUP BY user_id, month(ts), day(ts)"
+    )
+
+
+DAILY_MEANS_SQL = (
+    "SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, avg(value) AS value FROM events GROUP BY 1, 2"
+)
+ROLLING_MEANS_SQL = (
+    "SELECT user_id, ts, avg(value) OVER (PARTITION BY user_id ORDER BY ts"
+    f" RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS value FROM ({DAILY_MEANS_SQL})"
+)
+
+
 def core_oracle_sql() -> dict[str, str]:
     line_columns = ", ".join(LINE_KEY[:1] + LINE_REST[:2] + LINE_KEY[1:] + LINE_REST[2:])
     order_rest = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -591,6 +651,21 @@ def core_oracle_sql() -> dict[str, str]:
             + f" NULLIF({_packed_sql('q', '0.1')}, -999) * CAST(0.1 AS DOUBLE) AS l_quantity,"
             + f" NULLIF({_packed_sql('p', '0.1')}, -999) * CAST(0.1 AS DOUBLE) AS l_extendedprice FROM grid"
         ),
+        "stats_hourly": _statistics_sql("SELECT user_id, ts, value FROM events"),
+        "stats_daily_mean": _statistics_sql(DAILY_MEANS_SQL),
+        "stats_rolling7": _statistics_sql(ROLLING_MEANS_SQL),
+        "dedup_nullable_key": (
+            "WITH o AS (SELECT o_orderkey, o_custkey, NULLIF(o_orderpriority, '1-URGENT') AS o_orderpriority FROM orders)"
+            " SELECT * FROM o WHERE o_orderpriority IS NULL UNION ALL"
+            " SELECT min(o_orderkey), o_custkey, o_orderpriority FROM o WHERE o_orderpriority IS NOT NULL"
+            " GROUP BY o_custkey, o_orderpriority"
+        ),
+        "retype_report_decimal": " UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, 'decimal(10,1)' AS new_type, count({name}) AS value_count,"
+            f" count(*) FILTER (CAST(CAST({name} AS DECIMAL(10,1)) AS DOUBLE) <> {name}) AS failure_count,"
+            f" count(*) FILTER (CAST(CAST({name} AS DECIMAL(10,1)) AS DOUBLE) <> {name}) = 0 AS succeeded FROM lineitem"
+            for name in ("l_discount", "l_quantity")
+        ),
         "url_host": f"SELECT page_id, NULLIF(regexp_extract(url, '{HOST_PATTERN}', 1), '') AS host FROM pages",
         "compaction_stream": by_line,
         "compaction_stream_rows": "SELECT DISTINCT text, lang FROM documents",
