@@ -408,7 +408,7 @@ def _training_text() -> tuple[dict, dict]:
         from tidemark.llm import registry
 
         import corpus_pipeline
-    except ModuleNotFoundError as missing:
+    except ImportError as missing:
         if missing.name not in ("tidemark.llm", "tidemark.llm.registry", "corpus_pipeline"):
             raise
         return {}, {}
