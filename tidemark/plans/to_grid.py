@@ -64,7 +64,8 @@ def convert_to_grid(
 ) -> dict[str, Any]:
     """Write the grid of ``source`` and return its metadata.
 
-    Scans: the two dimension columns once each for the axes, then dimensions and variables once.
+    The source is scanned once: the means of its cells are written, and the axes, whose every value has a
+    cell, and the chunks are made from those.
     ``fill_collisions`` in the metadata counts real values that pack to the fill value.
     """
     check_dimensions(dimensions)
@@ -74,12 +75,12 @@ def convert_to_grid(
     storage = Storage(spark)
     staged = staging_path(output)
     try:
-        coordinates = index_axes(data, dimensions, f"{staged}/coordinates")
+        write_parquet(pivot_mean(data, dimensions, variables), f"{staged}/means", CELL_CODEC, CELL_LEVEL)
+        means = spark.read.parquet(f"{staged}/means")
+        coordinates = index_axes(means, dimensions, f"{staged}/coordinates")
         if any(axis.size == 0 for axis in coordinates):
             raise ValueError(f"There are no rows to grid in {source}")
-        chunks = dense_chunks(
-            pivot_mean(data, dimensions, variables), coordinates, variables, chunk_cells, ordered=True
-        )
+        chunks = dense_chunks(means, coordinates, variables, chunk_cells, ordered=True)
         collisions = Observation("grid")
         counters = [F.sum(fill_collisions(name, precision)).alias(name) for name in variables]
         write_parquet(
@@ -112,6 +113,7 @@ def convert_to_grid(
             "fill_collisions": {name: int(count or 0) for name, count in collisions.get.items()},
         }
         write_metadata(spark, staged, metadata)
+        storage.delete(f"{staged}/means")
         swap_in(storage, staged, output)
     finally:
         storage.delete(staged)
