@@ -5,9 +5,12 @@ for.  Two sets that link differ in so few shingles that, of more segments than t
 both; where a set leaves too many segments empty for that, its segments also index what is left of them after
 deleting one shingle.  Documents that share such a key are candidates; their texts are compared exactly.
 
+A set with more filled segments than it needs shares several with any partner.  It drops as many of its keys
+as that allows, the most frequent in the corpus first: so common passages make no candidates.  Of a pair, parities
+of the hashes' endings give a lower bound of the difference, which rules most chance candidates out.
+
 A candidate pair is needed only where it may join two components.  So first each key's members are compared with one
-of them, and only pairs of a key that then still lie in different components follow, if
-counts of their hashes per interval do not already prove them too different.
+of them, and only pairs of a key that then still lie in different components follow.
 """
 
 from __future__ import annotations
@@ -19,14 +22,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import LOWER_ASCII, blobs, small, written
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
 CACHED_WORDS = 1 << 19
-SKETCH = 256  # intervals of the hash space whose counts bound a difference from below
 GROUP_PART = 1_024  # members of a group that one row or task takes
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -121,30 +123,37 @@ def _most_different(a: int, b: int, percent: int) -> int:
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def set_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of a set: any set that links with it has one of them too.
+def set_keys(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, list[int]]:
+    """Keys of a set: any set that links with it has one of them too, and how many it has at least.
 
     Let d be the band's allowed difference.  A set with over d filled segments shares one whole with its
     partner.  Otherwise segments of two or more shingles count twice, since one shingle of difference
-    there is found by a deletion; a set short even then indexes its single shingles.
+    there is found by a deletion; a set short even then indexes its single shingles.  The lowest bit of a
+    key is that of its band; the second result has the number shared, at least, for either bit.
     """
     spread = _mix(hashes + _GOLDEN)
-    found = []
-    for band in bands.of(len(hashes)):
+    size, joined = len(hashes), bands.of(len(hashes))
+    found, shared = [], [1, 1]
+    for band in joined:
         m, allowed = bands.segments(band), bands.difference(band)
         segment = ((hashes >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
         sums = np.add.reduceat(spread, starts)
         label = segment[starts] * _GOLDEN + np.uint64((2 * band + 1) * 0xC2B2AE3D27D4EB4F % 2**64)
-        found.append(_mix(sums + label))
+        keys = [_mix(sums + label)]
         if len(starts) > allowed:
-            continue
-        counts = np.diff(np.append(starts, len(hashes)))
-        several = np.repeat(counts >= 2, counts)
-        found.append(_mix(np.repeat(sums + label, counts)[several] - spread[several]))
-        if len(starts) + (counts >= 2).sum() <= allowed:
-            found.append(_mix(spread + np.uint64(2 * band * 0x165667B19E3779F9 % 2**64)))
-    return np.unique(np.concatenate(found))
+            # partners are larger in the set's own band, and from the band in a lower one
+            partner = bands.largest_partner(size) if band == joined[0] else bands.lows[band + 1] - 1
+            if len(joined) <= 2:  # else two of the bands have one bit
+                shared[band & 1] = max(1, len(starts) - _most_different(size, partner, bands.percent))
+        else:
+            counts = np.diff(np.append(starts, size))
+            several = np.repeat(counts >= 2, counts)
+            keys.append(_mix(np.repeat(sums + label, counts)[several] - spread[several]))
+            if len(starts) + (counts >= 2).sum() <= allowed:
+                keys.append(_mix(spread + np.uint64(2 * band * 0x165667B19E3779F9 % 2**64)))
+        found.append(np.concatenate(keys) & ~np.uint64(1) | np.uint64(band & 1))
+    return np.unique(np.concatenate(found)), shared
 
 
 def _key_blobs(percent: int, buckets: int):
@@ -153,18 +162,26 @@ def _key_blobs(percent: int, buckets: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in small(batches, 2_048):
-            sizes, nodes, keys, owners, seen = [], [], [], [], set()
+            sizes, nodes, sketches, least, keys, owners, seen = [], [], [], [], [], [], set()
             for doc_id, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
                 hashes = shingle_set(text or b"")
                 node = int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
                 sizes.append(len(hashes))
                 nodes.append(node)
+                sketches.append(sketch(hashes))
+                found, shared = set_keys(hashes, bands) if len(hashes) else (np.zeros(0, np.uint64), [1, 1])
+                # Keys that become one when cut to bucket and 32 bits count once.
+                cut = ((found >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (found & np.uint64(0xFFFFFFFF))
+                lost = len(cut) - len(np.unique(cut))
+                shared = [max(1, n - lost) for n in shared]
+                least.append(shared)
                 if doc_id is not None and len(hashes) and node not in seen:
                     seen.add(node)
-                    keys.append(set_keys(hashes, bands))
+                    keys.append(found)
                     owners.append(node)
-            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
-            rows = [[int(n % 65_536) for n in nodes], [None] * len(nodes), batch.column(0).to_pylist(), sizes, nodes]
+            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+            spread = [int(n % 65_536) for n in nodes]
+            rows = [spread, [None] * len(nodes), batch.column(0).to_pylist(), sizes, nodes, sketches, *map(list, zip(*least))]
             if keys:
                 owner = np.repeat(np.array(owners, np.int64), [len(k) for k in keys])
                 key = np.concatenate(keys)
@@ -179,74 +196,91 @@ def _key_blobs(percent: int, buckets: int):
                 for column in rows[2:]:
                     column += extra
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(rows, kinds)], ["bucket", "keys", "id", "n_shingles", "node"]
+                [pa.array(v, k) for v, k in zip(rows, kinds)], ["bucket", "keys", "id", "n_shingles", "node", "sketch", "least_0", "least_1"]
             )
 
     return emit
 
 
-def _bucket_groups(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Pairs (first member, other member) of the keys of one bucket, and the distinct groups of three or more."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    keep = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
-    keys, nodes = keys[keep], nodes[keep]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.diff(np.append(starts, len(keys)))
-    several = counts >= 2
-    pairs = np.stack([np.repeat(nodes[starts], counts), nodes], 1)
-    pairs = pairs[np.repeat(several, counts) & (pairs[:, 0] != pairs[:, 1])]
-    groups = {}
-    for start, count in zip(starts[counts >= 3].tolist(), counts[counts >= 3].tolist()):
-        members = nodes[start : start + count]
-        groups.setdefault(xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63), members)
-    return np.unique(pairs, axis=0) if len(pairs) else pairs, groups
+JOINED = "kind string, id long, n_shingles int, node long, sketch binary, least_0 int, least_1 int, key long, n int"
 
 
 def _join_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket in; documents as they are, pairs and groups out."""
-    names = ["kind", "id", "n_shingles", "a", "b", "members"]
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    """Rows sorted by bucket in; documents as they are, and every key of two or more sets with each of them, out."""
+    names = [name.split()[0] for name in JOINED.split(", ")]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
 
-    def batch_of(rows: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], names)
+    def batch_of(rows: int, **values) -> pa.RecordBatch:
+        arrays = [pa.array(values[n], k) if n in values else pa.nulls(rows, k) for n, k in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
-    def joined(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def joined(bucket: int, held: list[bytes]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate([np.frombuffer(b, np.uint32, len(b) // 12) for b in held])
         nodes = np.concatenate([np.frombuffer(b, np.int64, len(b) // 12, 4 * (len(b) // 12)) for b in held])
-        pairs, groups = _bucket_groups(keys, nodes)
-        if len(pairs):
-            none = [None] * len(pairs)
-            yield batch_of([["pair"] * len(pairs), none, none, pairs[:, 0], pairs[:, 1], none])
-        parts = [(g, m[at : at + GROUP_PART].tolist()) for g, m in groups.items() for at in range(0, len(m), GROUP_PART)]
-        for at in range(0, len(parts), 1_024):
-            some = parts[at : at + 1_024]
-            none = [None] * len(some)
-            yield batch_of([["group"] * len(some), none, none, [g for g, _ in some], none, [m for _, m in some]])
+        order = np.lexsort((nodes, keys))
+        keys, nodes = keys[order], nodes[order]
+        keep = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+        keys, nodes = keys[keep], nodes[keep]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(starts, len(keys)))
+        each = np.repeat(counts, counts)
+        several = each >= 2
+        for at in range(0, int(several.sum()), 100_000):
+            part = slice(at, at + 100_000)
+            key = (np.int64(bucket) << np.int64(32)) | keys[several][part].astype(np.int64)
+            yield batch_of(len(key), kind=["key"] * len(key), node=nodes[several][part], key=key, n=each[several][part].astype(np.int32))
 
     bucket, held = None, []
     for batch in batches:
         rows = batch.to_pydict()
         docs = [k for k, blob in enumerate(rows["keys"]) if blob is None]
         if docs:
-            of = lambda name: [rows[name][k] for k in docs]
-            none = [None] * len(docs)
-            yield batch_of([["document"] * len(docs), of("id"), of("n_shingles"), of("node"), none, none])
+            columns = {n: [rows[n][k] for k in docs] for n in ("id", "n_shingles", "node", "sketch", "least_0", "least_1")}
+            yield batch_of(len(docs), kind=["document"] * len(docs), **columns)
         for at, blob in zip(rows["bucket"], rows["keys"]):
             if blob is None:
                 continue
             if at != bucket and held:
-                yield from joined(held)
+                yield from joined(bucket, held)
                 held = []
             bucket = at
             held.append(blob)
     if held:
-        yield from joined(held)
+        yield from joined(bucket, held)
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """How many hashes lie in each of ``SKETCH`` intervals."""
-    return np.minimum(np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=SKETCH), 65_535).astype(np.uint16).tobytes()
+    """The parity of the number of hashes with each ending, a bit for each of four to eight endings a hash."""
+    bits = max(6, min(24, (4 * len(hashes)).bit_length()))
+    counts = np.bincount((hashes & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
+    """Rows of sketches with endings one bit shorter until they have ``size`` bytes, as 64-bit words."""
+    while sketches.shape[1] > size:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return np.ascontiguousarray(sketches).view(np.uint64)
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of hashes that only one of two sets has: each changes one parity."""
+    x, y = (_folded(np.frombuffer(s, np.uint8)[None, :], min(len(a), len(b))) for s in (a, b))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _may_link(percent: int):
+    """Pairs with sizes and sketches in; those that the sketches do not rule out, out."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [batch.column(k).to_pylist() for k in range(2, 6)]
+            near = [least_difference(x, y) <= _most_different(m, n, percent) for m, n, x, y in zip(*rows)]
+            kept = batch.filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+
+    return keep
 
 
 def _compare_texts(percent: int):
@@ -255,7 +289,7 @@ def _compare_texts(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, own = None, None
         for batch in small(batches):
-            rows = [[], [], [], [], []]
+            rows = [[], [], []]
             for leader, part, node, text in zip(*(batch.column(k).to_pylist() for k in range(3)), blobs(batch.column(3))):
                 hashes = shingle_set(text or b"")
                 if (leader, part) != current:
@@ -267,16 +301,16 @@ def _compare_texts(percent: int):
                 else:
                     shared = len(np.intersect1d(own, hashes, assume_unique=True))
                     linked = 100 * shared >= percent * (len(own) + len(hashes) - shared)
-                for column, value in zip(rows, (leader, node, linked, len(hashes), sketch(hashes))):
+                for column, value in zip(rows, (leader, node, linked)):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], ["a", "b", "linked", "n", "sketch"])
+            kinds = [pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], ["a", "b", "linked"])
 
     return compare
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``, ``linked``, and size and sketch of ``b``, for every pair and for each ``a`` with itself.
+    """``a``, ``b``, ``linked`` for every pair (and, not linked, each ``a`` with itself).
 
     A text travels once for each of its pairs.  A leader with many partners is dealt to several parts.
     """
@@ -288,41 +322,58 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         sent.repartition("a", "part")
         .sortWithinPartitions("a", "part", "other")
         .select("a", "part", "b", "text")
-        .mapInArrow(_compare_texts(percent), "a long, b long, linked boolean, n int, sketch binary")
+        .mapInArrow(_compare_texts(percent), "a long, b long, linked boolean")
     )
 
 
+def _near_rows(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Places (row of x, row of y) where the sketches, folded to one length, differ by at most ``most``."""
+    size = min(x.shape[1], y.shape[1])
+    x, y = _folded(x, size), _folded(y, size)
+    found = []
+    for k in range(len(x)):
+        near = np.flatnonzero(np.bitwise_count(y ^ x[k]).sum(axis=1, dtype=np.int64) <= most[k])
+        found.append(np.stack([np.full(len(near), k), near], 1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _pairs_in_block(rows: dict[str, list], same: bool, percent: int) -> np.ndarray:
+    """Pairs (smaller, larger) of a block, or between its two sides, that may link and are in different components."""
+    node, component, n = (np.array(rows[k], np.int64) for k in ("node", "component", "n"))
+    side = np.array(rows["left_side"], bool)
+    length = np.array([len(s) for s in rows["sketch"]])
+    found = [np.zeros((0, 2), np.int64)]
+    for low in np.unique(length).tolist():
+        # Partners' sizes are within a factor of two, so are the lengths of their sketches.
+        for high in (low, 2 * low):
+            for one, other in ((low, high), (high, low)) if high > low else ((low, low),):
+                left = np.flatnonzero((length == one) & side)
+                right = np.flatnonzero((length == other) & (side if same else ~side))
+                if not len(left) or not len(right):
+                    continue
+                x, y = (np.frombuffer(b"".join(rows["sketch"][k] for k in at), np.uint8).reshape(len(at), -1) for at in (left, right))
+                most = (100 - percent) * (n[left][:, None] + n[right][None, :]) // (100 + percent)
+                open_ = (component[left][:, None] != component[right][None, :]) & (np.abs(n[left][:, None] - n[right][None, :]) <= most)
+                near = _near_rows(x, y, np.where(open_, most, -1))
+                found.append(np.stack([node[left[near[:, 0]]], node[right[near[:, 1]]]], 1))
+    return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+
+
 def _pairs_in_blocks(percent: int):
-    """Rows sorted by (group, left, right): pairs of different components that the sketches do not rule out."""
-
-    def found_in(rows: dict[str, list], same: bool) -> np.ndarray:
-        node, component, n = (np.array(rows[k], np.int64) for k in ("node", "component", "n"))
-        counts = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(-1, SKETCH).astype(np.int32)
-        side = np.array(rows["left_side"])
-        found = []
-        for k in np.flatnonzero(side):
-            other = np.arange(len(node)) > k if same else ~side
-            other &= component != component[k]
-            allowed = (100 - percent) * (n + n[k]) // (100 + percent)
-            other &= np.abs(n - n[k]) <= allowed
-            others = np.flatnonzero(other)
-            close = np.abs(counts[others] - counts[k]).sum(axis=1) <= allowed[others]
-            partners = node[others[close]]
-            found.append(np.stack([np.minimum(partners, node[k]), np.maximum(partners, node[k])], 1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    """Rows sorted by (leader, left, right) in; the pairs of each block out."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                pairs = np.unique(found_in(held, current[1] == current[2]), axis=0)
+                pairs = _pairs_in_block(held, current[1] == current[2], percent)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
             rows = batch.to_pydict()
             for k in range(batch.num_rows):
-                at = rows["group"][k], rows["left"][k], rows["right"][k]
+                at = rows["leader"][k], rows["left"][k], rows["right"][k]
                 if at != current:
                     yield from flush()
                     current, held = at, {name: [] for name in ("node", "component", "n", "sketch", "left_side")}
@@ -333,41 +384,57 @@ def _pairs_in_blocks(percent: int):
     return pair
 
 
-def _remaining_pairs(groups: DataFrame, components: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a group that are in different components and may still link.
+def _remaining_pairs(keys: DataFrame, components: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets with a common key that are in different components and may still link.
 
-    Members of a group are numbered by hash into blocks of about ``GROUP_PART``; two blocks, or one with
-    itself, are compared in a task, so a large group is spread.  Only pairs that pass are rows.
+    Near copies have nearly all keys in common, so keys whose smallest member is one set (their leader) are taken
+    together: all members of any of them are compared once.  They are numbered by hash into blocks of about
+    ``GROUP_PART``; two blocks, or one with itself, are compared in a task, so a large group is spread.
+    Only pairs that pass are rows.
     """
-    members = groups.select(F.col("a").alias("group"), F.explode("members").alias("node"))
-    placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_groups = (
-        placed.groupBy("group")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        .where("low <> high")
-        .select("group", F.ceil(F.col("size") / GROUP_PART).cast("int").alias("blocks"))
+    placed = keys.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_keys = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("leader"), F.count("*").alias("size"))
+        .where("low <> high and size > 2")
+        .select("key", "leader")
     )
-    left = written(
-        placed.join(open_groups, "group").join(sketches, "node"), "open"
-    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-
-    def side(low: Column, high: Column, is_left: bool) -> DataFrame:
-        other = F.explode(F.sequence(low, high)).alias("_other")
-        moved = left.select("group", "block", other, "node", "component", "n", "sketch")
-        places = ("block", "_other") if is_left else ("_other", "block")
-        return moved.select("group", F.col(places[0]).alias("left"), F.col(places[1]).alias("right"), "node", "component", "n", "sketch", F.lit(is_left).alias("left_side"))
-
-    as_left = side(F.col("block"), F.col("blocks") - 1, True)
-    as_right = side(F.lit(0), F.col("block"), False).where(F.col("left") < F.col("right"))
+    members = placed.join(open_keys, "key").select("leader", "node", "component").distinct()
+    blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / GROUP_PART).cast("int").alias("blocks"))
+    left = members.join(blocks, "leader").join(nodes.select("node", "n", "sketch"), "node")
+    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    moved = ["leader", "block", "node", "component", "n", "sketch"]
+    as_left = left.select(*moved, F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
+    as_right = left.select(*moved, F.explode(F.sequence(F.lit(0), F.col("block"))).alias("other")).where("other < block")
+    sides = [
+        side.select("leader", F.col(low).alias("left"), F.col(high).alias("right"), *moved[2:], F.lit(is_left).alias("left_side"))
+        for side, low, high, is_left in ((as_left, "block", "other", True), (as_right, "other", "block", False))
+    ]
     return (
-        as_left.union(as_right)
-        .repartition("group", "left", "right")
-        .sortWithinPartitions("group", "left", "right")
+        sides[0]
+        .union(sides[1])
+        .repartition("leader", "left", "right")
+        .sortWithinPartitions("leader", "left", "right")
         .mapInArrow(_pairs_in_blocks(percent), "a long, b long")
         .distinct()
     )
 
 
+def _rarest_keys(keys: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each set's keys without those it may drop: the most frequent ones, one fewer than any partner shares."""
+    bit = F.col("key").bitwiseAND(1)
+    within = Window.partitionBy("node", "bit").orderBy("n", "key")
+    least = F.when(F.col("bit") == 1, F.col("least_1")).otherwise(F.col("least_0"))
+    return (
+        keys.join(nodes.select("node", "least_0", "least_1"), "node")
+        .withColumn("bit", bit)
+        .withColumn("place", F.row_number().over(within))
+        .withColumn("held", F.count("*").over(Window.partitionBy("node", "bit")))
+        .where(F.col("place") <= F.col("held") - least + 1)
+        .select("key", "node")
+    )
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose sets of word shingles have a Jaccard similarity of ``percent`` or more.
 
@@ -378,36 +445,52 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     looked at.  Sets are told apart by 64-bit digests, links are decided on the texts.
 
     Hot keys: equal sets count once, a key's members are first compared with one of them only, and large groups are dealt
-    to several tasks.  The texts of candidates are written once to the shared folder.
+    to several tasks.  Only texts of candidates travel.
     """
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    keyed = source.mapInArrow(_key_blobs(percent, buckets), "bucket int, keys binary, id long, n_shingles int, node long")
+    keyed = source.mapInArrow(
+        _key_blobs(percent, buckets),
+        "bucket int, keys binary, id long, n_shingles int, node long, sketch binary, least_0 int, least_1 int",
+    )
     joined = written(
-        keyed.repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_join_buckets, "kind string, id long, n_shingles int, a long, b long, members array<long>"),
-        "shingles",
+        keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join_buckets, JOINED), "shingles"
+    )
+    sets = joined.where("kind = 'document'").select("id", "n_shingles", "node")
+    shared = joined.where("kind = 'key'").select("key", "node", "n")
+    nodes = (
+        joined.where("kind = 'document' and id is not null")
+        .join(shared.select("node").distinct(), "node", "left_semi")
+        .groupBy("node")
+        .agg(
+            F.min("id").alias("id"),
+            F.max("n_shingles").alias("n"),
+            F.max("sketch").alias("sketch"),
+            F.max("least_0").alias("least_0"),
+            F.max("least_1").alias("least_1"),
+        )
+    )
+    nodes = written(nodes, "nodes")
+    keys = written(_rarest_keys(shared, nodes), "keys")
+
+    first = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1")
+    pairs = keys.join(first, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    of = {x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"}
+    near = written(
+        pairs.join(of["a"], "a")
+        .join(of["b"], "b")
+        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+        .mapInArrow(_may_link(percent), "a long, b long"),
+        "near",
     )
-    sets = joined.where("kind = 'document'").select("id", "n_shingles", F.col("a").alias("node"))
-    pairs = joined.where("kind = 'pair'").select("a", "b").distinct()
-    groups = joined.where("kind = 'group'").select("a", "members").distinct()
-
-    candidates = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    representatives = sets.where("id is not null").groupBy("node").agg(F.min("id").alias("id")).join(candidates, "node", "left_semi")
-    texts = source.join(representatives, "id").select("node", "text", F.xxhash64("text").alias("h"))
-    # An id that repeats with other texts sends them all; the one with the node's set is kept.
-    texts = written(texts.dropDuplicates(["node", "h"]).mapInArrow(_with_set, "node long, text string"), "candidates")
-
-    checked = written(_verified(pairs, texts, percent), "checked")
-    linked = checked.where("linked").select("a", "b")
+    linked = _verified(near, _texts(source, nodes, near), percent).where("linked").select("a", "b")
+    linked = written(linked, "linked")
     components = connected_components(linked)
-    sketches = checked.select(F.col("b").alias("node"), "n", "sketch").dropDuplicates(["node"])
-    more = _remaining_pairs(groups, components, sketches, percent)
-    more = written(more.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "remaining")
+    more = _remaining_pairs(keys, components, nodes, percent)
+    more = written(more.join(near, ["a", "b"], "left_anti"), "remaining")
     if not more.isEmpty():
-        again = _verified(more, texts, percent).where("linked").select("a", "b")
+        again = _verified(more, _texts(source, nodes, more), percent).where("linked").select("a", "b")
         components = connected_components(linked.union(again))
 
     placed = sets.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -424,6 +507,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     )
 
 
+def _texts(source: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of every set in ``pairs``, written once."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = source.join(nodes.join(wanted, "node", "left_semi").select("id", "node"), "id")
+    # An id that repeats with other texts sends them all; one with the node's set is kept.
+    return written(
+        texts.select("node", "text").mapInArrow(_with_set, "node long, text string").dropDuplicates(["node"]), "texts"
+    )
+
+
 def _with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (node, text) those whose text has the set that ``node`` stands for."""
     for batch in small(batches):
