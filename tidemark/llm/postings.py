@@ -193,11 +193,13 @@ def nearest_neighbours(
     schema = "query_id long, rank int, vec_id long, score double"
     if not rows:
         return spark.createDataFrame([], schema)
-    # A hash order makes the sample the same in every run.
-    sample = (
-        usable.orderBy(F.xxhash64("id", "vector")).limit(SAMPLE_ROWS).toPandas()["vector"]
-    )
+    # By hash, so the sample is the same in every run, and about its size leaves the tasks.
+    share = min(1.0, 1.1 * SAMPLE_ROWS / rows)
+    drawn = usable.where(F.pmod(F.xxhash64("id", "vector"), F.lit(1 << 31)) < int(share * (1 << 31)))
+    sample = drawn.orderBy(F.xxhash64("id", "vector")).limit(SAMPLE_ROWS).toPandas()["vector"]
     sample = np.array(sample.tolist(), float)
+    if not len(sample):  # copies of one vector under one id may all be left out
+        sample = np.array([usable.first()["vector"]])
     lists = max(1, min(LARGEST_INDEX, rows // LIST_ROWS, len(sample) // 8))
     graph = CentroidGraph.build(balanced_centroids(sample, lists))
     postings = written(
