@@ -44,25 +44,32 @@ _ALL_TITLES = "|".join(TITLES["f"] + TITLES["m"])
 _ALL_GIVEN = "|".join(GIVEN_NAMES["f"] + GIVEN_NAMES["m"])
 _WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{L}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_SECRET_HEAD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}[\"']?"
-
-# In order: of two kinds that begin at one place the first is taken.
+# Names of secrets may have a longer name before them; a look ahead for the sign skips other words.
+_SECRET_HEAD = (
+    r"(?=[A-Za-z0-9_-]{2,60}[\x20\t]{0,3}[=:])"
+    r"(?i:[a-z0-9_-]{0,40}?(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))[\x20\t]{0,3}[=:][\x20\t]{0,3}[\"']?"
+)
+
+# In order: of two kinds that begin at one place the first is taken.  Each begins with a test of its first letter, and
+# none begins inside an ASCII word or number: most places of a text are passed over at once.
 KINDS = {
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_ALL_TITLES})\.?\x20{_WORD}(?:\x20{_WORD})?|(?:{_ALL_GIVEN})\x20{_WORD})(?![\p{{L}}\p{{N}}])",
+    "name": (
+        rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_ALL_TITLES})\.?\x20{_WORD}(?:\x20{_WORD})?|(?:{_ALL_GIVEN})\x20{_WORD})(?![\p{{L}}\p{{N}}])"
+    ),
     "secret": _SECRET_HEAD + r"(?=[^\s\"']*[0-9])[^\s\"']{5,}[^\s\"'.,;:!?)]",
-    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "email": r"(?=[A-Za-z0-9._%+-]{1,64}@)[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "access": r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ip": rf"(?=[0-9]{{1,3}}\.)(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
+    "ssn": r"(?=[0-9]{3}-)(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
-        r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}"
+        r"(?=[+(0-9])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}"
         r"|\([0-9]{3}\)\x20?[0-9]{3}[-.\x20][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9])"
     ),
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "hex": r"(?<![A-Za-z0-9])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
+    "card": r"[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "hex": r"(?=[0-9a-f]{32})(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
 }
-PATTERN = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
+PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{pattern})" for pattern in KINDS.values()) + ")"
 
 
 def _stream(secret_key: str, kind: Column, value: Column, attempt: Column, size: Column) -> Column:
