@@ -332,7 +332,8 @@ def weighted_tree_log10(train, text, depth):
     return total
 
 
-def test_scores_equal_the_recursion_and_the_base_its_formula(spark):
+@pytest.mark.parametrize("depth", [2, 4])
+def test_scores_equal_the_recursion_and_the_base_its_formula(spark, depth, tmp_path):
     texts = ["abra cadabra", "abra abra", "Cad abra é", "bra", "", None, "abra cadabra", "new words here"]
     held = next(k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2)
     taught = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 != 2]
@@ -340,7 +341,10 @@ def test_scores_equal_the_recursion_and_the_base_its_formula(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for name in ("id", "block", "keys", "n", "gram", "kind", "taught"):
         docs = docs.withColumn(name, F.lit("own"))
-    found = score_texts(docs, depth=2).collect()
+    docs.repartition(4).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert docs.rdd.getNumPartitions() > 1
+    found = score_texts(docs, depth=depth).collect()
     train = [(text or "").encode() for text in texts[:-1]]
     counts = Counter(word for text in train for word in text.translate(LOWER).split())
     total, distinct = sum(counts.values()) + len(train), len(counts) + 1
@@ -352,7 +356,7 @@ def test_scores_equal_the_recursion_and_the_base_its_formula(spark):
         expected += math.log10((len(train) + 1) / (total + distinct + 1))
         assert math.isclose(row.base_score, expected, rel_tol=1e-9)
         assert (row.n_tokens, row.n_known, row.train_tokens) == (len(words) + 1, sum(counts[w] > 0 for w in words) + 1, total)
-        assert math.isclose(row.score, weighted_tree_log10(train, data, 2), rel_tol=1e-6)
+        assert math.isclose(row.score, weighted_tree_log10(train, data, depth), rel_tol=1e-6)
         assert math.isclose(row.bits_per_byte, -row.score * math.log2(10) / (len(data) + 1), rel_tol=1e-9)
     assert by_id[held].held_out and by_id[None].held_out is None and len(found) == len(rows)
     assert score_texts(docs.limit(0)).collect() == []
