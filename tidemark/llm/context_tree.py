@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -179,25 +180,80 @@ def _log_kt(a: Column, b: Column) -> Column:
     return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1.0) - math.log(math.pi)
 
 
-def weighted_grams(grams: DataFrame, depth: int) -> DataFrame:
-    """``grams`` (bucket, gram, n) with ``log10_p``: the weighted probability of the gram's byte in its context."""
-    decisions = grams.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
-        "bucket",
-        "gram",
-        F.shiftright("gram", 8).alias("context"),
-        F.expr("(1L << k) | ((gram & 255L) >> (8 - k))").alias("node"),
-        F.expr("((gram & 255L) >> (7 - k)) & 1").alias("bit"),
-        "n",
-    )
+def _log_gamma_of(x: np.ndarray) -> np.ndarray:
+    z = x + 7
+    low = np.prod([x + k for k in range(7)], axis=0)
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - np.log(low)
+
+
+class _Subtrees:
+    """Levels ``depth`` to ``top`` of the tree over grams whose last ``top`` bytes of context are all here.
+
+    A node's place is its context and, in the low byte, the decisions made so far.
+    """
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, top: int):
+        steps = np.arange(8, dtype=np.uint64)[:, None]
+        symbol, context = grams & np.uint64(255), grams >> np.uint64(8)
+        nodes = (np.uint64(1) << steps) | (symbol >> (np.uint64(8) - steps))
+        self.bits = ((symbol >> (np.uint64(7) - steps)) & np.uint64(1)).astype(np.float64)
+        places, self.of = np.unique((context << np.uint64(8)) | nodes, return_inverse=True)
+        self.of = self.of.reshape(8, -1)
+        ones = np.bincount(self.of.ravel(), (self.bits * counts).ravel(), len(places))
+        zeros = np.bincount(self.of.ravel(), ((1 - self.bits) * counts).ravel(), len(places))
+        below, self.levels = None, []
+        for k in range(depth, top - 1, -1):
+            if below is not None:
+                short = (places & np.uint64(255)) | (((places >> np.uint64(8)) & np.uint64((1 << (8 * k)) - 1)) << np.uint64(8))
+                places, parent = np.unique(short, return_inverse=True)
+                zeros, ones, below = (np.bincount(parent, v, len(places)) for v in (zeros, ones, log_w))
+                self.levels[-1]["parent"] = parent
+            own = _log_gamma_of(zeros + 0.5) + _log_gamma_of(ones + 0.5) - _log_gamma_of(zeros + ones + 1) - math.log(math.pi)
+            log_w = own if below is None else math.log(0.5) + np.logaddexp(own, below)
+            beta = np.ones(len(own)) if below is None else 1 / (1 + np.exp(np.minimum(below - own, 700)))
+            below = log_w
+            self.levels.append({"places": places, "a": zeros, "b": ones, "log_w": log_w, "beta": beta})
+
+    def log10_p(self, top_places: np.ndarray, p: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Of each gram, given the mixture down to the top level."""
+        at = np.searchsorted(top_places, self.levels[-1]["places"])
+        p, left = p[at], left[at]
+        for level in self.levels[-2::-1]:
+            p, left = p[level["parent"]], left[level["parent"]]
+            p = p + left * level["beta"] * (level["b"] + 0.5) / (level["a"] + level["b"] + 1)
+            left = left * (1 - level["beta"])
+        one = p[self.of]
+        return np.log10(np.where(self.bits == 1, one, 1 - one)).sum(axis=0)
+
+
+def _all_rows(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    held = [batch for batch in batches if batch.num_rows]
+    return pa.Table.from_batches(held) if held else None
+
+
+def weighted_grams(grams: DataFrame, depth: int, top: int = 3) -> DataFrame:
+    """``grams`` (bucket, gram, n) with ``log10_p``: the weighted probability of the gram's byte in its context.
+
+    Levels below ``top`` are made in tasks that hold all grams of their last ``top`` bytes of context, which
+    are at most 256 ** (depth - top + 1); the levels above are aggregations and joins of their nodes.
+    """
+    top = min(top, depth)
+    suffix = F.shiftright("gram", 8).bitwiseAND((1 << (8 * top)) - 1)
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _all_rows(batches)
+        if table is None:
+            return
+        level = _Subtrees(table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy(), depth, top).levels[-1]
+        context, node = (level["places"] >> np.uint64(8)).astype(np.int64), (level["places"] & np.uint64(255)).astype(np.int64)
+        values = [context, node, level["a"], level["b"], level["log_w"], level["beta"]]
+        yield from pa.table(dict(zip(("context", "node", "a", "b", "log_w", "beta"), values))).to_batches(100_000)
+
     own = _log_kt(F.col("a"), F.col("b"))
-    level = written(
-        decisions.groupBy("context", "node")
-        .agg(F.sum(F.expr("n * (1 - bit)")).cast("double").alias("a"), F.sum(F.expr("n * bit")).cast("double").alias("b"))
-        .select("context", "node", "a", "b", own.alias("log_w"), F.lit(1.0).alias("beta")),
-        "level",
-    )
+    placed = grams.withColumn("suffix", suffix).repartition("suffix").select("bucket", "gram", "n")
+    level = written(placed.mapInArrow(up, "context long, node long, a double, b double, log_w double, beta double"), "level")
     levels = [level]
-    for k in range(depth - 1, -1, -1):
+    for k in range(top - 1, -1, -1):
         shorter = F.col("context").bitwiseAND((1 << (8 * k)) - 1).alias("context")
         children = level.groupBy(shorter, "node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("log_w").alias("below"))
         apart = F.col("below") - own
@@ -216,14 +272,34 @@ def weighted_grams(grams: DataFrame, depth: int) -> DataFrame:
         levels.append(level)
     one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
     mixed = levels[-1].select("context", "node", (F.col("beta") * one).alias("p"), (1 - F.col("beta")).alias("left"))
-    for k in range(1, depth + 1):
+    for k in range(1, top + 1):
         parents = mixed.select(F.col("context").alias("parent"), "node", "p", "left")
-        joined = levels[depth - k].withColumn("parent", F.col("context").bitwiseAND((1 << (8 * (k - 1))) - 1)).join(parents, ["parent", "node"])
+        joined = levels[top - k].withColumn("parent", F.col("context").bitwiseAND((1 << (8 * (k - 1))) - 1)).join(parents, ["parent", "node"])
         mixed = joined.select(
             "context", "node", (F.col("p") + F.col("left") * F.col("beta") * one).alias("p"), (F.col("left") * (1 - F.col("beta"))).alias("left")
         )
-    chosen = F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))
-    return decisions.join(mixed, ["context", "node"]).groupBy("bucket", "gram").agg(F.sum(chosen).alias("log10_p"))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _all_rows(batches)
+        if table is None:
+            return
+        is_gram = table["gram"].is_valid()
+        rows, nodes = table.filter(is_gram), table.filter(pc.invert(is_gram))
+        places = (nodes["suffix"].to_numpy() << 8 | nodes["node"].to_numpy()).astype(np.uint64)
+        order = np.argsort(places)
+        p, left = nodes["p"].to_numpy()[order], nodes["left"].to_numpy()[order]
+        tree = _Subtrees(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), depth, top)
+        found = tree.log10_p(places[order], p, left)
+        yield from pa.table({"bucket": rows["bucket"], "gram": rows["gram"], "log10_p": found}).to_batches(100_000)
+
+    nothing = F.lit(None)
+    of_grams = grams.select(
+        suffix.alias("suffix"), "bucket", "gram", "n", *(nothing.cast(t).alias(c) for c, t in (("node", "long"), ("p", "double"), ("left", "double")))
+    )
+    of_nodes = mixed.select(
+        F.col("context").alias("suffix"), *(nothing.cast(t).alias(c) for c, t in (("bucket", "int"), ("gram", "long"), ("n", "long"))), "node", "p", "left"
+    )
+    return of_grams.union(of_nodes).repartition("suffix").mapInArrow(down, "bucket int, gram long, log10_p double")
 
 
 def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
