@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import registry
+from tidemark.llm import postings, registry
 from tidemark.llm.components import connected_components
 from tidemark.llm.context_tree import byte_grams, score_texts
 from tidemark.llm.ngram_join import Bands, least_difference, near_duplicates, set_keys, sketch
@@ -164,6 +164,21 @@ def test_copies_of_one_vector_are_all_found_by_rank(spark):
     assert [tuple(r) for r in found.orderBy("rank").collect()] == [(100, k + 1, k, 0.0) for k in range(10)]
 
 
+@pytest.mark.parametrize("recall", [0.99, 1.0])
+def test_neighbours_without_clusters_have_the_recall_asked_for(spark, monkeypatch, recall):
+    monkeypatch.setattr(postings, "LIST_ROWS", 10)
+    points = np.random.default_rng(4).normal(size=(8_000, 48))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    df = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = {}
+    for row in nearest_neighbours(df, lambda i: i % 100 == 0, **({} if recall < 1 else {"recall": recall})).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    distance = ((points[::100, None] - points[None]) ** 2).sum(2)
+    distance[np.arange(80), np.arange(0, 8_000, 100)] = np.inf
+    hits = sum(len(found[100 * k] & set(row[:10].tolist())) for k, row in enumerate(np.argsort(distance, axis=1)))
+    assert hits >= (0.98 if recall < 1 else 1) * 800
+
+
 def test_archives_of_hard_rows(spark):
     big, tricky = "é" * 150_000, "WARC/1.1\r\nContent-Length: 5\r\n\r\n0\r\n\r\n"
     rows = [(5, "u", big), (3, None, big), (None, "a\r\nb", "zz"), (7, "u", None), (8, "u", ""), (9, "u", tricky), (9, "u", tricky)]

@@ -2,27 +2,32 @@
 
 Centroids are fitted on a bounded sample, every vector is indexed.  A vector near the border of several
 clusters is put into the lists of all of them, unless a chosen centroid is close to the next one.  Centroids are found by best-first search in an in-memory graph of their neighbours.  A query
-opens the lists whose centroid is not much farther than the nearest one.  A list longer than its share is split
-into parts by a hash, so copies of one vector, which no centroid can part, stay balanced too.
+opens the nearest lists, as many as the recall asks for: that is measured by brute force, at the table's size.  A list longer than its share is split
+into parts by a hash, so copies of one vector, which no centroid can part, stay balanced too; parts are dealt
+to buckets of about equal size, and a query goes to a bucket once, however many of its lists are there.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import small, written
 
 SAMPLE_ROWS = 20_000  # vectors the centroids are fitted on, at most
-LARGEST_INDEX = 4_096  # centroids in memory, at most; lists are then longer, and split
+LARGEST_INDEX = SAMPLE_ROWS // 8  # centroids, at most, so that each is fitted on some vectors; lists are then longer, and split
 LIST_ROWS = 200  # vectors a list should hold
 GRAPH_DEGREE = 16
 BEAM = 32
+CALIBRATION_QUERIES = 256  # queries whose true neighbours tell how many lists to open
+LEAST_BUCKETS = 32  # groups of lists that are compared together, and their rows where that makes more of them
+BUCKET_ROWS = 65_536
+ROUNDING = 1e-9  # of a squared distance from a matrix product, far above its rounding
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,6 +170,125 @@ def _assign(graph: CentroidGraph, replicas: int, widen: float, spread: float):
     return assign
 
 
+def _by_nearness(centroids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    return np.argsort(_squared(vectors, centroids), axis=1, kind="stable")
+
+
+def _first_distinct(distance: np.ndarray, ids: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the ``k`` nearest distinct ids; of an id the nearest row, then the smallest place, counts."""
+    by_id = np.lexsort((places, distance, ids))
+    _, first = np.unique(ids[by_id], return_index=True)
+    rows = by_id[first]
+    return rows[np.lexsort((ids[rows], distance[rows]))][:k]
+
+
+def _exact_places(asked_ids: np.ndarray, asked: np.ndarray, places: np.ndarray, k: int):
+    """The ``k`` nearest of all rows of a task for each asked vector, and how early their list is opened."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in asked]
+        limit = np.full(len(asked), np.inf)
+        for batch in small(batches, 2_048):
+            lists, ids, vectors = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
+            slack = ROUNDING * (np.square(asked).sum(1)[:, None] + np.square(vectors).sum(1)[None, :])
+            near = (_squared(asked, vectors) <= np.square(limit)[:, None] + slack) & (ids[None, :] != asked_ids[:, None])
+            for row in np.flatnonzero(near.any(axis=1)):
+                at = np.flatnonzero(near[row])
+                found = np.sqrt(np.square(vectors[at] - asked[row]).sum(axis=1)), ids[at], places[row][lists[at]]
+                held = tuple(map(np.concatenate, zip(best[row], found)))
+                keep = _first_distinct(*held, k)
+                best[row] = tuple(column[keep] for column in held)
+                if len(keep) == k:
+                    limit[row] = best[row][0][-1]
+        rows = np.repeat(np.arange(len(asked)), [len(b[0]) for b in best])
+        score, ids, place = map(np.concatenate, zip(*best))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows.astype(np.int32)), pa.array(ids), pa.array(score), pa.array(place.astype(np.int32))],
+            ["asked", "vec_id", "score", "place"],
+        )
+
+    return nearest
+
+
+def _lists_for_recall(postings: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int, recall: float) -> int:
+    """How many lists, nearest first, hold the share ``recall`` of the true neighbours of some of the queries.
+
+    The true neighbours are those among all rows of the index, so the number follows from its size and data.
+    """
+    distinct = queries.groupBy("vector").agg(F.min("id").alias("id"))
+    asked = distinct.orderBy(F.xxhash64("vector"), "id").limit(CALIBRATION_QUERIES).toPandas()
+    if recall >= 1 or asked.empty:
+        return len(centroids)
+    vectors = np.array(asked["vector"].tolist(), float)
+    places = np.argsort(_by_nearness(centroids, vectors), axis=1)
+    found = postings.select("list", "id", "vector").mapInArrow(
+        _exact_places(asked["id"].to_numpy(), vectors, places, k), "asked int, vec_id long, score double, place int"
+    )
+    once = found.groupBy("asked", "vec_id").agg(F.min(F.struct("score", "place")).alias("best"))
+    order = Window.partitionBy("asked").orderBy("best.score", "vec_id")
+    true = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("best.place").toPandas()["place"]
+    if true.empty:
+        return len(centroids)
+    return int(np.sort(true.to_numpy())[int(np.ceil(recall * len(true))) - 1]) + 1
+
+
+def _buckets(sizes: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """A bucket for each part of each list (those of a list are neighbours), with about as many rows in each."""
+    rows = np.repeat(sizes / parts, parts)
+    held = [(0.0, bucket) for bucket in range(min(len(rows), max(LEAST_BUCKETS, int(sizes.sum()) // BUCKET_ROWS)))]
+    bucket_of = np.zeros(len(rows), np.int32)
+    for unit in np.argsort(-rows, kind="stable").tolist():
+        filled, bucket_of[unit] = held[0]
+        heapq.heapreplace(held, (filled + rows[unit], held[0][1]))
+    return bucket_of
+
+
+def _compare_in_buckets(lists: int, k: int):
+    """Rows sorted by bucket, those of the index before those asked; of each asked one the ``k`` nearest of its lists."""
+
+    def nearest(asked: dict[str, list], at: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a = np.array(asked["vector"])
+        opened = np.zeros((len(a), lists), bool)
+        for row, some in enumerate(asked["lists"]):
+            opened[row, some] = True
+        rough = _squared(a, vectors)
+        rough[~opened[:, at] | (np.array(asked["id"])[:, None] == ids[None, :])] = np.inf
+        slack = ROUNDING * (np.square(a).sum(1) + np.square(vectors).sum(1).max())
+        columns = [[], [], []]
+        for row, query_id in enumerate(asked["id"]):
+            open_, most = int(np.isfinite(rough[row]).sum()), 4 * k
+            while True:  # copies and repeated ids may fill the first places
+                limit = np.partition(rough[row], most - 1)[most - 1] if most < open_ else np.finfo(float).max
+                near = np.flatnonzero(rough[row] <= limit + slack[row])
+                if most >= open_ or len(np.unique(ids[near])) >= k:
+                    break
+                most *= 4
+            distance = np.sqrt(np.square(vectors[near] - a[row]).sum(axis=1))
+            keep = _first_distinct(distance, ids[near], at[near], k)
+            for column, values in zip(columns, (np.full(len(keep), query_id, np.int64), ids[near][keep], distance[keep])):
+                column.append(values)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["query_id", "vec_id", "score"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, index = None, [], None
+        for batch in small(batches, 64):
+            buckets, is_asked = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            ends = np.flatnonzero((buckets[1:] != buckets[:-1]) | (is_asked[1:] != is_asked[:-1])) + 1
+            for start, stop in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
+                part = batch.slice(start, stop - start)
+                if buckets[start] != current:
+                    current, held, index = buckets[start], [], None
+                if not is_asked[start]:
+                    held.append((part.column(2).to_numpy(), part.column(4).to_numpy(), _matrix(part.column(5))))
+                    continue
+                if index is None:
+                    index, held = tuple(map(np.concatenate, zip(*held))) if held else (), []
+                if index:
+                    yield from nearest({n: part.column(c).to_pylist() for n, c in (("lists", 3), ("id", 4), ("vector", 5))}, *index)
+
+    return compare
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     query_filter,
@@ -174,15 +298,16 @@ def nearest_neighbours(
     replicas: int = 4,
     widen: float = 0.1,
     spread: float = 0.5,
-    prune: float = 0.3,
-    most_lists: int = 64,
+    recall: float = 0.99,
 ) -> DataFrame:
     """The ``k`` nearest rows found for each row of ``vectors`` that ``query_filter`` (on the id) takes.
 
     Returns query_id, rank (from 1), vec_id and score, the Euclidean distance in double precision; ties go to
     the smaller id.  A vector goes to at most ``replicas`` lists within ``1 + widen`` of its nearest centroid's
-    distance, none of them nearer to another than ``spread`` times the vector's distance.  A query opens the lists within ``1 + prune`` of its nearest centroid's distance, at most
-    ``most_lists``, and always so many that their own rows outnumber ``k``; if all rows are fewer, all are
+    distance, none of them nearer to another than ``spread`` times the vector's distance.  A query opens so many lists,
+    nearest first, that the share ``recall`` of the true neighbours is found, as measured by brute force over the
+    whole table for ``CALIBRATION_QUERIES`` of the queries, and always so many that their own rows outnumber ``k``;
+    with ``recall`` 1 all lists, which is exact.  If all rows are fewer than ``k``, all are
     found.  Vectors that are NULL, empty, zero, or hold NULL, NaN or an infinity take no part, nor do NULL
     ids; all others need one length.  Of repeated ids the nearest vector counts once.  An empty table
     gives an empty one; other columns are not looked at.
@@ -212,59 +337,52 @@ def nearest_neighbours(
     share = 4 * LIST_ROWS * max(1, rows // (LIST_ROWS * len(graph.centroids)))
     parts = np.maximum(1, -(-sizes[0] // share)).astype(np.int32)
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                wanted = min(most_lists, len(graph.centroids))
-                while True:
-                    ids, found = graph.search(_matrix(piece.column(1)), wanted)
-                    held = np.cumsum(np.where(np.isfinite(found), sizes[1][ids], 0), axis=1)
-                    if wanted == len(graph.centroids) or (held[:, -1] > k).all():
-                        break
-                    wanted = min(2 * wanted, len(graph.centroids))
-                if wanted == len(graph.centroids):  # all lists: no search can miss one
-                    found = _squared(_matrix(piece.column(1)), graph.centroids)
-                    ids = np.argsort(found, axis=1, kind="stable")
-                    found = np.take_along_axis(found, ids, 1)
-                    held = np.cumsum(sizes[1][ids], axis=1)
-                before = np.hstack([np.zeros((len(held), 1), held.dtype), held[:, :-1]])
-                chosen = (found <= (1 + prune) ** 2 * found[:, :1]) & (np.arange(wanted) < most_lists) | (before <= k)
-                rows_, places = np.nonzero(chosen)
-                chosen_lists = ids[rows_, places]
-                counts = parts[chosen_lists]
-                split = np.concatenate([np.arange(c) for c in counts]) if len(counts) else np.zeros(0, int)
-                of = np.repeat(np.arange(len(rows_)), counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chosen_lists[of].astype(np.int32)), pa.array(split.astype(np.int32)), *(piece.column(c).take(pa.array(rows_[of])) for c in (0, 1))],
-                    ["list", "part", "query_id", "vector"],
-                )
-
     queries = usable.where(query_filter(F.col("id")))
-    probes = queries.mapInArrow(probe, "list int, part int, query_id long, vector array<double>")
-    part_of = F.element_at(F.lit(parts.tolist()).cast("array<int>"), F.col("list") + 1)
-    stored = postings.select("list", F.pmod(F.xxhash64("id", "vector"), part_of).cast("int").alias("part"), "id", "vector")
-
-    def compare(asked: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or kept.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        a, ids = np.array(asked["vector"].tolist()), kept["id"].to_numpy()
-        found = []
-        b = np.array(kept["vector"].tolist())
-        for row, query_id in enumerate(asked["query_id"]):
-            distance = np.sqrt(np.square(b - a[row]).sum(axis=1))
-            distance[ids == query_id] = np.inf
-            best = np.lexsort((ids, distance))
-            _, first = np.unique(ids[best], return_index=True)
-            best = best[np.sort(first)][:k]
-            best = best[np.isfinite(distance[best])]
-            found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": distance[best]}))
-        return pd.concat(found)
+    opened = _lists_for_recall(postings, queries, graph.centroids, k, recall)
+    bucket_of = _buckets(sizes[0], parts)
+    first_part = np.concatenate([[0], np.cumsum(parts)[:-1]])
+    buckets, lists = int(bucket_of.max()) + 1, len(graph.centroids)
 
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            ids = _by_nearness(graph.centroids, _matrix(batch.column(1)))
+            held = np.cumsum(sizes[1][ids], axis=1)
+            before = np.hstack([np.zeros((len(held), 1), held.dtype), held[:, :-1]])
+            rows_, places = np.nonzero((np.arange(lists) < opened) | (before <= k))
+            chosen = ids[rows_, places]
+            counts = parts[chosen]
+            within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            bucket = bucket_of[np.repeat(first_part[chosen], counts) + within]
+            # One row for each bucket of a query, with those of its lists that are there.
+            key = np.unique((np.repeat(rows_, counts) * buckets + bucket) * lists + np.repeat(chosen, counts))
+            place, starts = np.unique(key // lists, return_index=True)
+            here = pa.ListArray.from_arrays(pa.array(np.append(starts, len(key)).astype(np.int32)), pa.array((key % lists).astype(np.int32)))
+            of = pa.array(place // buckets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((place % buckets).astype(np.int32)), here, *(batch.column(c).take(of) for c in (0, 1))],
+                ["bucket", "lists", "id", "vector"],
+            )
+
+    def of_list(values: np.ndarray, place: Column) -> Column:
+        return F.element_at(F.lit(values.tolist()).cast("array<int>"), place + 1)
+
+    part = F.pmod(F.xxhash64("id", "vector"), of_list(parts, F.col("list"))).cast("int")
+    stored = postings.select(
+        of_list(bucket_of, of_list(first_part, F.col("list")) + part).alias("bucket"),
+        F.lit(False).alias("asked"),
+        "list",
+        F.lit(None).cast("array<int>").alias("lists"),
+        "id",
+        "vector",
+    )
+    asked = queries.mapInArrow(probe, "bucket int, lists array<int>, id long, vector array<double>").select(
+        "bucket", F.lit(True).alias("asked"), F.lit(None).cast("int").alias("list"), "lists", "id", "vector"
+    )
     found = (
-        probes.groupBy("list", "part")
-        .cogroup(stored.groupBy("list", "part"))
-        .applyInPandas(compare, "query_id long, vec_id long, score double")
+        stored.union(asked)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "asked")
+        .mapInArrow(_compare_in_buckets(lists, k), "query_id long, vec_id long, score double")
     )
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
