@@ -32,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced by surrogates; ``n_chars`` follows the text."""
-    replaced = replace_personal_data(docs, SURROGATE_KEY)
+    replaced = replace_personal_data(docs, SURROGATE_KEY, plain_runs=False)
     changed = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return replaced.withColumn("n_chars", changed).select(*docs.columns)
 

@@ -272,6 +272,22 @@ def test_surrogates_keep_type_format_and_coreference(replaced):
     assert len(texts[8][0]) == len(PRIVATE[8][1]) and texts[8][0] != PRIVATE[8][1]
 
 
+def test_numbers_that_are_no_cards_stay(spark):
+    clean = ["2019 2020 2021 2022", "2021-01-02 2021-01-03", "978-3-16-148410-0", " ".join(map(str, range(1, 14))), "1700000000000"]
+    cards = ["4111 1111 1111 1111", "3782-822463-10005", "4111111111111111", "2024 4111 1111 1111 1111", "4111 1111 1111 1111 123"]
+    docs = spark.createDataFrame([(k, f"see {t}, so") for k, t in enumerate([*clean, "9870157079875996", *cards])], "doc_id long, text string")
+    for plain_runs in (True, False):
+        found = {r.doc_id: r for r in replace_personal_data(docs, "k", plain_runs=plain_runs).collect()}
+        kept = [k for k in range(len(found)) if not found[k].n_entities]
+        assert kept == list(range(len(clean) + (not plain_runs)))
+        assert all(found[k].text == f"see {clean[k]}, so" for k in range(len(clean)))
+        assert found[9].text.startswith("see 2024 4") and found[10].text.endswith(" 123, so")
+        for k, card in enumerate(cards, len(clean) + 1):
+            shown = found[k].text[4:-4]
+            assert shown != card and re.sub("[0-9]", "0", shown) == re.sub("[0-9]", "0", card)
+            assert luhn("".join(re.findall("[0-9]", shown.removeprefix("2024 ")))[:16]) == 0
+
+
 def test_private_values_of_documents_are_gone_and_stay_distinct(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     found = {row.doc_id: row for row in registry.op4_surrogates(spark, SF_DIR).collect()}

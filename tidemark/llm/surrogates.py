@@ -50,6 +50,10 @@ _SECRET_HEAD = (
     r"(?i:[a-z0-9_-]{0,40}?(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))[\x20\t]{0,3}[=:][\x20\t]{0,3}[\"']?"
 )
 
+# First digits of card numbers, and their groups as printed; the check digit is tested on what is found.
+_ISSUER = r"(?:4|5[0-9]|6|3[0-9]|222[1-9]|22[3-9][0-9]|2[3-6][0-9]{2}|27[01][0-9]|2720)"
+_GROUPED = r"[0-9]{4}(?:(?:[\x20-][0-9]{4}){3}(?:[\x20-][0-9]{1,3})?|[\x20-][0-9]{6}[\x20-][0-9]{4,5})"
+
 # In order: of two kinds that begin at one place the first is taken.  Each begins with a test of its first letter, and
 # none begins inside an ASCII word or number: most places of a text are passed over at once.
 KINDS = {
@@ -66,7 +70,7 @@ KINDS = {
         r"(?=[+(0-9])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}"
         r"|\([0-9]{3}\)\x20?[0-9]{3}[-.\x20][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9])"
     ),
-    "card": r"[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": rf"(?=[0-9]{{4}})(?:[0-9]{{13,19}}|(?={_ISSUER}){_GROUPED})(?![0-9A-Za-z])",
     "hex": r"(?=[0-9a-f]{32})(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
 }
 PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{pattern})" for pattern in KINDS.values()) + ")"
@@ -199,15 +203,30 @@ def _kind_of(form: Column) -> Column:
     return reduce(lambda whens, case: whens.when(case[1], case[0]), cases[1:], F.when(cases[0][1], cases[0][0]))
 
 
-def entity_forms(forms: DataFrame) -> DataFrame:
-    """``form`` with its ``kind``, the ``head`` that stays before it, and its ``parts``: (kind, canon) of each entity in it."""
+def _is_card(form: Column, plain_runs: bool) -> Column:
+    """Whether a form of the kind card is one: by issuer, length and check digit; or, with ``plain_runs``, a run of 16 digits."""
+    digits = F.regexp_replace(form, "[^0-9]", "")
+    checked = digits.rlike(f"^{_ISSUER}") & (_luhn(digits) == 0)
+    return checked | form.rlike("^[0-9]{16}$") if plain_runs else checked
+
+
+def entity_forms(forms: DataFrame, plain_runs: bool = True) -> DataFrame:
+    """``form`` with its ``kind``, the ``head`` and ``tail`` that stay around it, and its ``parts``: (kind, canon) of each entity in it.
+
+    A number that only looks like a card has no parts.  A short group after a whole card number is its tail.
+    """
     form, kind = F.col("form"), F.col("kind")
     title = F.regexp_extract(form, rf"^(?:{_ALL_TITLES})\.?\x20", 0)
     head = F.when(kind == "name", title).when(kind == "secret", F.regexp_extract(form, "^" + _SECRET_HEAD, 0)).otherwise(F.lit(""))
     digits = F.regexp_replace(form, "[^0-9]", "")
+    first_16 = F.substring(form, 1, 19)
+    in_fours = form.rlike(r"^[0-9]{4}(?:[\x20-][0-9]{4}){3}[\x20-]")
+    whole, tailed = F.col("_whole"), F.col("_tailed")
+    tail = F.when(tailed, F.expr("substring(form, 20)")).otherwise(F.lit(""))
     body = F.expr("substring(form, length(head) + 1)")
     canon = (
         F.when(kind == "email", F.lower(form))
+        .when(tailed, F.regexp_replace(first_16, "[^0-9]", ""))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "phone", F.substring(digits, -10, 10))
         .when(kind == "iban", F.regexp_replace(form, r"\x20", ""))
@@ -225,8 +244,15 @@ def entity_forms(forms: DataFrame) -> DataFrame:
             F.lower(word).alias("canon"),
         ),
     )
-    parts = F.when(kind == "name", person).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
-    return forms.withColumn("kind", _kind_of(form)).withColumn("head", head).withColumn("parts", parts)
+    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
+    sound = (kind != "card") | tailed | whole
+    parts = F.when(kind == "name", person).when(sound, one).otherwise(F.slice(one, 1, 0))
+    kinds = (
+        forms.withColumn("kind", _kind_of(form))
+        .withColumn("_whole", (kind == "card") & _is_card(form, plain_runs))
+        .withColumn("_tailed", (kind == "card") & ~whole & in_fours & _is_card(first_16, plain_runs))
+    )
+    return kinds.withColumn("head", head).withColumn("tail", tail).withColumn("parts", parts).drop("_whole", "_tailed")
 
 
 def surrogate_table(entities: DataFrame, secret_key: str, most_attempts: int = 64) -> DataFrame:
@@ -264,10 +290,13 @@ def _in_format(form: Column, surrogate: Column) -> Column:
     return F.array_join(F.transform(F.split(form, ""), placed), "")
 
 
-def replacements(forms: DataFrame, secret_key: str) -> DataFrame:
-    """``form`` and its ``replacement`` for each row of ``forms`` (form; distinct)."""
-    known = written(entity_forms(forms), "forms")
-    exploded = known.select("form", "kind", "head", F.posexplode("parts").alias("place", "part"))
+def replacements(forms: DataFrame, secret_key: str, plain_runs: bool = True) -> DataFrame:
+    """``form``, its ``replacement`` and whether it is an ``entity`` for each row of ``forms`` (form; distinct).
+
+    What is no entity replaces itself.
+    """
+    known = written(entity_forms(forms, plain_runs), "forms")
+    exploded = known.select("form", "kind", "head", "tail", F.posexplode("parts").alias("place", "part"))
     entities = exploded.select("part.kind", "part.canon").distinct()
     table = surrogate_table(entities, secret_key).withColumnRenamed("kind", "part_kind").withColumnRenamed("canon", "part_canon")
     joined = exploded.join(
@@ -275,28 +304,34 @@ def replacements(forms: DataFrame, secret_key: str) -> DataFrame:
     )
     one = F.col("chosen")[0]["surrogate"]
     shown = F.when(F.col("form") == F.upper("form"), F.upper(one)).otherwise(one)
+    body = F.expr("substring(form, 1, length(form) - length(tail))")
+    others = known.where(F.size("parts") == 0).select("form", F.col("form").alias("replacement"), F.lit(False).alias("entity"))
     return (
-        joined.groupBy("form", "kind", "head")
+        joined.groupBy("form", "kind", "head", "tail")
         .agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("chosen"))
         .select(
             "form",
             F.when(F.col("kind") == "name", F.concat("head", F.array_join(F.transform("chosen", lambda c: c["surrogate"]), " ")))
             .when(F.col("kind") == "secret", F.concat("head", one))
             .when(F.col("kind") == "email", shown)
-            .when(F.col("kind").isin("phone", "card", "ssn", "iban"), _in_format(F.col("form"), one))
+            .when(F.col("kind").isin("phone", "card", "ssn", "iban"), F.concat(_in_format(body, one), "tail"))
             .otherwise(one)
             .alias("replacement"),
+            F.lit(True).alias("entity"),
         )
+        .union(others)
     )
 
 
-def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "text") -> DataFrame:
+def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "text", plain_runs: bool = True) -> DataFrame:
     """``docs`` with every entity in ``text_col`` replaced, and ``n_entities``; all other columns as they are.
 
     The same entity has the same surrogate everywhere, different ones have different surrogates.  NULL texts stay
     NULL and texts without an entity stay as they are, both with n_entities 0; repeated rows are treated alike;
     an empty table gives an empty one.  ``docs`` must not have a column ``n_entities``.
 
+    A number counts as a card by issuer, printed groups and check digit; with ``plain_runs`` so does any run of 16 digits.
+
     Only texts with entities are moved: each travels with its first entity, to the surrogate of that and back to
     its row.  An entity that a third of all texts have is a skewed join key, which adaptive execution splits.
     """
@@ -314,9 +349,9 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "tex
         "occurrences",
     )
     forms = occurrences.select("form").distinct()
-    chosen = F.sort_array(F.collect_list(F.struct("_place", "replacement")))
+    chosen = F.sort_array(F.collect_list(F.struct("_place", "replacement", "entity")))
     rows = (
-        occurrences.join(replacements(forms, secret_key), "form")
+        occurrences.join(replacements(forms, secret_key, plain_runs), "form")
         .groupBy("_row")
         .agg(F.first("_doc", ignorenulls=True).alias("_doc"), chosen.alias("_chosen"))
     )
@@ -326,7 +361,7 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "tex
         F.transform(F.col("_between"), lambda piece, k: F.concat(piece, F.coalesce(F.get(F.col("_chosen"), k)["replacement"], F.lit("")))), ""
     )
     changed = rows.withColumn("_between", between).select(
-        *(F.col("_doc")[name].alias(name) for name in others), joined.alias(text_col), F.size("_chosen").alias("n_entities")
+        *(F.col("_doc")[name].alias(name) for name in others), joined.alias(text_col), F.size(F.filter("_chosen", lambda c: c["entity"])).alias("n_entities")
     )
     order = [*docs.columns, "n_entities"]
     unchanged = docs.where(~found).withColumn("n_entities", F.lit(0))
