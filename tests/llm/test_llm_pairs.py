@@ -288,6 +288,25 @@ def test_numbers_that_are_no_cards_stay(spark):
             assert luhn("".join(re.findall("[0-9]", shown.removeprefix("2024 ")))[:16]) == 0
 
 
+def test_whole_names_and_later_mentions_are_replaced(spark):
+    texts = [
+        "Mary Jane Watson came. Later Watson said that Mary left; Watsonville is far.",
+        "Juan García López, Mrs. Mary Anne Smith, Dr. Chandra and Frau Prof. Weber met. García and Weber agreed.",
+        "Watson said so.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in replace_personal_data(docs, "k").collect()}
+    first = re.fullmatch(r"(\w+) \w+ (\w+) came\. Later (\w+) said that (\w+) left; Watsonville is far\.", found[0].text)
+    assert first and first[1] == first[4] and first[2] == first[3] and found[0].n_entities == 3
+    assert not re.search(r"Mary|Jane|Watson\b", found[0].text)
+    second = re.fullmatch(
+        r"\w+ (\w+) \w+, Mrs\. \w+ \w+ \w+, Dr\. \w+ and Frau Prof\. (\w+) met\. (\w+) and (\w+) agreed\.", found[1].text
+    )
+    assert second and second[1] == second[3] and second[2] == second[4] and found[1].n_entities == 6
+    assert not re.search("Juan|García|López|Mary|Anne|Smith|Chandra|Weber", found[1].text)
+    assert found[2].text == texts[2] and found[2].n_entities == 0
+
+
 def test_private_values_of_documents_are_gone_and_stay_distinct(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     found = {row.doc_id: row for row in registry.op4_surrogates(spark, SF_DIR).collect()}

@@ -18,6 +18,7 @@ from tidemark.llm.common import written
 TITLES = {
     "f": "Mrs Ms Miss Frau Madame Mme Mademoiselle Señora Señorita Sra Doña Г-жа Госпожа Κυρία".split(),
     "m": "Mr Sir Herr Monsieur Señor Don Г-н Господин Κύριος".split(),
+    "": "Dr Prof Professor".split(),
 }
 GIVEN_NAMES = {
     "f": (
@@ -40,7 +41,8 @@ SCRIPTS = {
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 PUBLIC_OCTETS = [n for n in range(1, 224) if n not in (10, 100, 127, 169, 172, 192, 198, 203)]
 
-_ALL_TITLES = "|".join(TITLES["f"] + TITLES["m"])
+_ALL_TITLES = "|".join(TITLES["f"] + TITLES["m"] + TITLES[""])
+_TITLE = rf"(?:(?:{_ALL_TITLES})\.?\x20)+"
 _ALL_GIVEN = "|".join(GIVEN_NAMES["f"] + GIVEN_NAMES["m"])
 _WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{L}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -58,7 +60,7 @@ _GROUPED = r"[0-9]{4}(?:(?:[\x20-][0-9]{4}){3}(?:[\x20-][0-9]{1,3})?|[\x20-][0-9
 # none begins inside an ASCII word or number: most places of a text are passed over at once.
 KINDS = {
     "name": (
-        rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_ALL_TITLES})\.?\x20{_WORD}(?:\x20{_WORD})?|(?:{_ALL_GIVEN})\x20{_WORD})(?![\p{{L}}\p{{N}}])"
+        rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{_TITLE}{_WORD}|(?:{_ALL_GIVEN})\x20{_WORD})(?:\x20{_WORD})*(?![\p{{L}}\p{{N}}])"
     ),
     "secret": _SECRET_HEAD + r"(?=[^\s\"']*[0-9])[^\s\"']{5,}[^\s\"'.,;:!?)]",
     "email": r"(?=[A-Za-z0-9._%+-]{1,64}@)[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -76,6 +78,11 @@ KINDS = {
 PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{pattern})" for pattern in KINDS.values()) + ")"
 
 
+NAMES = "array<struct<word: string, surrogate: string>>"
+# A name's part by itself: not inside another word, nor of an address or a file.
+_ALONE = (r"(?<![\p{L}\p{M}\p{N}@._/’'-])\Q", r"\E(?![\p{L}\p{M}\p{N}@_/-])")
+
+
 def _stream(secret_key: str, kind: Column, value: Column, attempt: Column, size: Column) -> Column:
     """Hex digits that depend on the key and the entity, two for each of ``size`` characters."""
     seed = F.concat_ws("|", F.lit(secret_key), kind, value, attempt.cast("string"))
@@ -216,7 +223,7 @@ def entity_forms(forms: DataFrame, plain_runs: bool = True) -> DataFrame:
     A number that only looks like a card has no parts.  A short group after a whole card number is its tail.
     """
     form, kind = F.col("form"), F.col("kind")
-    title = F.regexp_extract(form, rf"^(?:{_ALL_TITLES})\.?\x20", 0)
+    title = F.regexp_extract(form, f"^{_TITLE}", 0)
     head = F.when(kind == "name", title).when(kind == "secret", F.regexp_extract(form, "^" + _SECRET_HEAD, 0)).otherwise(F.lit(""))
     digits = F.regexp_replace(form, "[^0-9]", "")
     first_16 = F.substring(form, 1, 19)
@@ -235,16 +242,29 @@ def entity_forms(forms: DataFrame, plain_runs: bool = True) -> DataFrame:
     )
     words = F.split(body, r"\x20")
     script = F.when(body.rlike(r"\p{IsCyrillic}"), "cyrillic").when(body.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    by_title = F.when(F.regexp_replace(F.trim("head"), r"\.$", "").isin(TITLES["f"]), "f").otherwise("m")
-    gender = F.when(words[0].isin(GIVEN_NAMES["f"]), "f").when(words[0].isin(GIVEN_NAMES["m"]), "m").otherwise(by_title)
+    by_title = F.when(F.regexp_extract("head", r"^[^.\x20]*", 0).isin(TITLES["f"]), "f").otherwise("m")
+    first = words[0]
+    gender = F.when(first.isin(GIVEN_NAMES["f"]), "f").when(first.isin(GIVEN_NAMES["m"]), "m").otherwise(by_title)
+
+    def role(word: Column, place: Column) -> Column:
+        """The first of several words is a given name, and so are listed ones between it and the last."""
+        between = (place > 0) & (place < F.size(words) - 1)
+        return (
+            F.when((place == 0) & (F.size(words) > 1), F.concat(F.lit("given_"), gender))
+            .when(between & word.isin(GIVEN_NAMES["f"]), "given_f")
+            .when(between & word.isin(GIVEN_NAMES["m"]), "given_m")
+            .otherwise("family")
+        )
+
     person = F.transform(
         words,
         lambda word, place: F.struct(
-            F.concat_ws("_", F.when((place == 0) & (F.size(words) > 1), F.concat_ws("_", F.lit("given"), gender)).otherwise(F.lit("family")), script).alias("kind"),
+            F.concat_ws("_", role(word, place), script).alias("kind"),
             F.lower(word).alias("canon"),
+            word.alias("word"),
         ),
     )
-    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
+    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), F.lit(None).cast("string").alias("word")))
     sound = (kind != "card") | tailed | whole
     parts = F.when(kind == "name", person).when(sound, one).otherwise(F.slice(one, 1, 0))
     kinds = (
@@ -291,9 +311,9 @@ def _in_format(form: Column, surrogate: Column) -> Column:
 
 
 def replacements(forms: DataFrame, secret_key: str, plain_runs: bool = True) -> DataFrame:
-    """``form``, its ``replacement`` and whether it is an ``entity`` for each row of ``forms`` (form; distinct).
+    """``form``, its ``replacement``, whether it is an ``entity``, and its ``names``, for each row of ``forms`` (form; distinct).
 
-    What is no entity replaces itself.
+    What is no entity replaces itself; names are the words of a person's name with their surrogates.
     """
     known = written(entity_forms(forms, plain_runs), "forms")
     exploded = known.select("form", "kind", "head", "tail", F.posexplode("parts").alias("place", "part"))
@@ -305,10 +325,10 @@ def replacements(forms: DataFrame, secret_key: str, plain_runs: bool = True) ->
     one = F.col("chosen")[0]["surrogate"]
     shown = F.when(F.col("form") == F.upper("form"), F.upper(one)).otherwise(one)
     body = F.expr("substring(form, 1, length(form) - length(tail))")
-    others = known.where(F.size("parts") == 0).select("form", F.col("form").alias("replacement"), F.lit(False).alias("entity"))
+    others = known.where(F.size("parts") == 0).select("form", F.col("form").alias("replacement"), F.lit(False).alias("entity"), F.lit(None).cast(NAMES).alias("names"))
     return (
         joined.groupBy("form", "kind", "head", "tail")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("chosen"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "part.word", "surrogate"))).alias("chosen"))
         .select(
             "form",
             F.when(F.col("kind") == "name", F.concat("head", F.array_join(F.transform("chosen", lambda c: c["surrogate"]), " ")))
@@ -318,6 +338,7 @@ def replacements(forms: DataFrame, secret_key: str, plain_runs: bool = True) ->
             .otherwise(one)
             .alias("replacement"),
             F.lit(True).alias("entity"),
+            F.when(F.col("kind") == "name", F.transform("chosen", lambda c: F.struct(c["word"], c["surrogate"]))).cast(NAMES).alias("names"),
         )
         .union(others)
     )
@@ -326,6 +347,8 @@ def replacements(forms: DataFrame, secret_key: str, plain_runs: bool = True) ->
 def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "text", plain_runs: bool = True) -> DataFrame:
     """``docs`` with every entity in ``text_col`` replaced, and ``n_entities``; all other columns as they are.
 
+    Words that are part of a person's name in a text are replaced where they stand alone in it, too, and counted.
+
     The same entity has the same surrogate everywhere, different ones have different surrogates.  NULL texts stay
     NULL and texts without an entity stay as they are, both with n_entities 0; repeated rows are treated alike;
     an empty table gives an empty one.  ``docs`` must not have a column ``n_entities``.
@@ -349,7 +372,7 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "tex
         "occurrences",
     )
     forms = occurrences.select("form").distinct()
-    chosen = F.sort_array(F.collect_list(F.struct("_place", "replacement", "entity")))
+    chosen = F.sort_array(F.collect_list(F.struct("_place", "replacement", "entity", "names")))
     rows = (
         occurrences.join(replacements(forms, secret_key, plain_runs), "form")
         .groupBy("_row")
@@ -358,10 +381,36 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text_col: str = "tex
     between = F.split(F.col(f"_doc.{text_col}"), PATTERN, -1)
     # One more piece of text than entities: the last has nothing after it.
     joined = F.array_join(
-        F.transform(F.col("_between"), lambda piece, k: F.concat(piece, F.coalesce(F.get(F.col("_chosen"), k)["replacement"], F.lit("")))), ""
+        F.transform(F.col("_told"), lambda piece, k: F.concat(piece, F.coalesce(F.get(F.col("_chosen"), k)["replacement"], F.lit("")))), ""
     )
-    changed = rows.withColumn("_between", between).select(
-        *(F.col("_doc")[name].alias(name) for name in others), joined.alias(text_col), F.size(F.filter("_chosen", lambda c: c["entity"])).alias("n_entities")
+    # Between the entities, words that are parts of the document's names are those persons again.
+    names = F.array_distinct(F.flatten(F.filter(F.transform("_chosen", lambda c: c["names"]), lambda names: names.isNotNull())))
+
+    def alone(name: Column) -> Column:
+        return F.concat(F.lit(_ALONE[0]), name["word"], F.lit(_ALONE[1]))
+
+    def told(piece: Column) -> Column:
+        start = F.struct(piece.alias("text"), F.lit(0).alias("n"))
+        return F.aggregate(
+            F.col("_names"),
+            start,
+            lambda done, name: F.struct(
+                F.regexp_replace(done["text"], alone(name), name["surrogate"]).alias("text"),
+                (done["n"] + F.regexp_count(done["text"], alone(name))).alias("n"),
+            ),
+        )
+
+    mentions = F.aggregate("_pieces", F.lit(0), lambda n, piece: n + piece["n"])
+    changed = (
+        rows.withColumn("_between", between)
+        .withColumn("_names", names)
+        .withColumn("_pieces", F.transform("_between", told))
+        .withColumn("_told", F.transform("_pieces", lambda piece: piece["text"]))
+        .select(
+            *(F.col("_doc")[name].alias(name) for name in others),
+            joined.alias(text_col),
+            (F.size(F.filter("_chosen", lambda c: c["entity"])) + mentions).alias("n_entities"),
+        )
     )
     order = [*docs.columns, "n_entities"]
     unchanged = docs.where(~found).withColumn("n_entities", F.lit(0))
