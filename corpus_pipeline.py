@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what is left in one place of a sequence."""
-    return pack_documents(docs, WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False)
+    return pack_documents(docs, WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False, added_tokens=True)
 
 
 STAGES = [

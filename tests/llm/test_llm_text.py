@@ -13,6 +13,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tidemark.llm import registry
 from tidemark.llm.bpe import PrefixCode, PrefixVocabulary, bpe_encode
 from tidemark.llm.language import codewords, identify_language
@@ -144,6 +145,18 @@ def test_packing_of_documents_and_hard_rows(spark):
     assert whole == filled
 
 
+def test_packing_has_the_ids_of_the_tokenizer_at_its_defaults(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "word<|startoftext|>e\u0301<|endoftext|><|endoftext|>\u0301s", "<|ENDOFTEXT|> <|endoftext| >", "it's 漢<|endoftext|>字", None]
+    docs = hard(spark, [(k, text, "en") for k, text in enumerate(texts)])
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(registry.WORD_TOKENIZER)
+    expected = [np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4").tobytes() for text in texts]
+    for found in (registry.op3_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, "")):
+        rows = {row.doc_id: row for row in found.collect()}
+        assert [rows[k].ids_crc32 for k in range(len(texts))] == [zlib.crc32(ids) for ids in expected]
+        assert [rows[k].doc_tokens for k in range(len(texts))] == [len(ids) // 4 for ids in expected]
+
+
 def test_packing_of_an_empty_table(spark):
     assert pack_documents(hard(spark, []), registry.WORD_TOKENIZER).collect() == []
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,26 +33,36 @@ class WordTokenizer:
     """Ids, as little-endian unsigned 32-bit integers, of words and of the pieces the tokenizer makes of them.
 
     The tokenizer drops white space and joins nothing across it, so words are encoded one by one and
-    each distinct word once; likewise, of a Latin word its pieces in lower case.
+    each distinct word once; likewise, of a Latin word its pieces in lower case.  With ``added_tokens`` the
+    tokenizer's own added tokens, as "<|endoftext|>", have their ids wherever a text holds them, as by default in the
+    tokenizer; without, they are text as any other.
     """
 
     # The tokenizer's own split, and the end of the scripts that Python lowers as it does.
     SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
     LATIN_END = "\u0370"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
+        self.added: dict[bytes, bytes] = {}
+        for token_id, token in self.tokenizer.get_added_tokens_decoder().items() if added_tokens else ():
+            if token.normalized or token.single_word or token.lstrip or token.rstrip:
+                raise ValueError("an added token that is not matched as it is written")
+            self.added[token.content.encode()] = token_id.to_bytes(4, "little")
+        self.added_places = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        self.words: dict[bytes, bytes] = dict(self.added)
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
-            self.words, self.pieces = {}, {}
+            self.words, self.pieces = dict(self.added), {}
         known, new = self.words, set()
+        if self.added_places:  # a word of its own, also inside another
+            texts = [self.added_places.sub(rb" \g<0> ", text) for text in texts]
         split = [text.split() for text in texts]
         for words in split:
             new.update(itertools.filterfalse(known.__contains__, words))
@@ -91,18 +102,24 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordTokenizer:
+def _tokenizer(path: str, added_tokens: bool) -> WordTokenizer:
     """One per process: the words it has met stay known to later tasks."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, added_tokens)
 
 
-def token_bytes(path: str, texts: list[bytes]) -> list[bytes]:
+def token_bytes(path: str, texts: list[bytes], added_tokens: bool = False) -> list[bytes]:
     """Ids of each text, each id as a little-endian unsigned 32-bit integer."""
-    return _tokenizer(path).encode(texts)
+    return _tokenizer(path, added_tokens).encode(texts)
 
 
 def cut_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int, size: int = 4096, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    size: int = 4096,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Pieces of at most ``size`` token ids of every whole text, its end id included.
 
@@ -117,7 +134,7 @@ def cut_documents(
         for batch in small(batches, 32):
             rows: list[tuple] = []
             texts = [text or b"" for text in blobs(batch.column(1))]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(tokenizer_path, texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(tokenizer_path, texts, added_tokens)):
                 ids += end
                 total = len(ids) // 4
                 for at in range(0, len(ids), step):
@@ -204,13 +221,13 @@ def sequence_tokens(placed: DataFrame) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int = 2, size: int = 4096, keep_ids: bool = True
+    docs: DataFrame, tokenizer_path: str, end_id: int = 2, size: int = 4096, keep_ids: bool = True, added_tokens: bool = False
 ) -> DataFrame:
     """Every token id of every document in one place of a sequence of at most ``size`` ids.
 
     Returns doc_id, start, length, ids (with ``keep_ids``), ids_crc32, doc_tokens, sequence_id and
-    offset.  Cases are those of ``cut_documents`` and ``place_pieces``.
+    offset.  Cases are those of ``WordTokenizer``, ``cut_documents`` and ``place_pieces``.
     """
-    pieces = cut_documents(docs, tokenizer_path, end_id, size).withColumn("ids_crc32", F.crc32("ids"))
+    pieces = cut_documents(docs, tokenizer_path, end_id, size, added_tokens=added_tokens).withColumn("ids_crc32", F.crc32("ids"))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
     return place_pieces(written(pieces.select(*columns), "pieces"), size)

@@ -34,7 +34,7 @@ def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False)
+    return pack_documents(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2, size=4096, keep_ids=False, added_tokens=True)
 
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
