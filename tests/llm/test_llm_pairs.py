@@ -329,6 +329,17 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(set(found)) == 60 and not set(found) & {f"{k:02d}" for k in range(60)}
 
 
+def test_long_runs_of_names_titles_and_labels_do_not_overflow_the_stack(spark):
+    texts = ["Mr. " + "Abc " * 5_000 + "x", "Mr " * 3_000, "a@" + "b." * 20_000 + "b", "a@" + "bb." * 20_000 + "bb", "Mr. Sir Xy2", "Mr. Don said"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in replace_personal_data(docs, "k").collect()}
+    assert "Abc" not in found[0].text and found[0].n_entities == 1 and len(set(found[0].text.split()[1:-1])) <= 2
+    assert found[1].n_entities >= 1 and found[2].text == texts[2]
+    assert found[3].n_entities == 1 and found[3].text.endswith("bb.bb") and ".example.bb" in found[3].text
+    assert found[4].text.endswith("Xy2") and found[4].n_entities == 1
+    assert found[5].text.startswith("Mr. ") and "Don" not in found[5].text
+
+
 def test_surrogates_of_an_empty_table_and_native_plan(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert replace_personal_data(docs, "k").collect() == []

@@ -188,6 +188,7 @@ def test_exact_dedup_keeps_the_longest_text(spark):
     assert sum(row.kept for row in found) == len(set(bare))
     kept = keep_distinct_texts(hard(spark))
     assert kept.count() == len(set(bare)) and kept.columns == hard(spark).columns
+    assert all(row._row == row.row_id == "own" for row in kept.collect())
     assert dedup_exact(hard(spark, [])).collect() == []
 
 

@@ -15,6 +15,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,6 +34,7 @@ class PrefixVocabulary:
         self.halves: dict[int, tuple[int, int]] = {}
         self.merges: dict[tuple[int, int], int] = {}
         self.longest = 1
+        self.ending: ahocorasick.Automaton | None = None
         self._pairs: dict[tuple[int, int], bool] = {}
         # In order of rank: a token's halves are its encoding by the tokens before it.
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
@@ -49,6 +51,12 @@ class PrefixVocabulary:
             self.longest = max(self.longest, len(token))
             self._pairs.clear()
         self.whole = ranks
+        # Finds all tokens that end at a place, longest first, in one pass; bytes as characters 0 to 255.
+        self.ending = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            self.ending.add_word(token.decode("latin-1"), (len(token), rank))
+        if self.ranks:
+            self.ending.make_automaton()
 
     @classmethod
     def from_file(cls, path: str) -> PrefixVocabulary:
@@ -100,9 +108,25 @@ class PrefixCode:
         self.append(data)
 
     def append(self, more: bytes) -> None:
+        vocabulary, last = self.vocabulary, self.last
+        at = max(0, len(last) + 1 - vocabulary.longest)
         self.data += more
-        for end in range(len(self.last) + 1, len(self.data) + 1):
-            self.last.append(self._last_token(end))
+        if vocabulary.ending is None:  # the vocabulary itself is being made
+            for end in range(len(last) + 1, len(self.data) + 1):
+                last.append(self._last_token(end))
+            return
+        may_follow, before = vocabulary.may_follow, at + 1
+        for place, (length, token) in vocabulary.ending.iter(self.data[at:].decode("latin-1")):
+            end = place + before
+            if end <= len(last):
+                continue
+            start = end - length
+            if start == 0 or start <= len(last) and may_follow(last[start - 1], token):
+                if end > len(last) + 1:
+                    break
+                last.append(token)
+        if len(last) < len(self.data):
+            raise ValueError(f"no token for byte {self.data[len(last)]}")
 
     def _last_token(self, end: int) -> int:
         ranks, may_follow, data, last = self.vocabulary.ranks, self.vocabulary.may_follow, self.data, self.last

@@ -16,8 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_SPACE, blobs, written
+from tidemark.llm.common import ASCII_SPACE, blobs, small, written
 
+# Texts that are cut together: what a task makes of their bytes is several times as large.
+TEXTS_AT_ONCE = 256
 # A cut follows each byte where the hash of the last WINDOW bytes has its CUT_BITS low bits zero.
 WINDOW, CUT_BITS = 16, 11
 SHORTEST, LONGEST = 512, 16_384
@@ -59,10 +61,8 @@ def chunk_ends(places: np.ndarray, start: int, stop: int) -> list[int]:
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (``digest`` random, ``content`` NULL) and of the distinct chunks of a batch."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    """Rows of documents (``digest`` random, ``content`` NULL) and of the distinct chunks of some texts."""
+    for batch in small(batches, TEXTS_AT_ONCE):
         rows = batch.column(2).to_pylist()
         texts = [(text or b"").translate(None, ASCII_SPACE) for text in blobs(batch.column(1))]
         places = cut_places(b"".join(texts))
@@ -185,10 +185,12 @@ def keep_distinct_texts(docs: DataFrame, text_col: str = "text", id_col: str = "
 
     ``docs`` has to be read the same way twice (a table), since its rows are numbered.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    source = numbered.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col("_row").alias("row_id"))
-    kept = exact_groups(source).where("kept").select(F.col("row_id").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    numbered = docs.select(F.struct(*(docs[name] for name in docs.columns)).alias("doc"), F.monotonically_increasing_id().alias("row_id"))
+    source = numbered.select(
+        F.col("doc")[id_col].cast("long").alias("id"), F.col("doc")[text_col].cast("string").alias("text"), "row_id"
+    )
+    kept = exact_groups(source).where("kept").select("row_id")
+    return numbered.join(kept, "row_id", "left_semi").select(*(F.col("doc")[name].alias(name) for name in docs.columns))
 
 
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -42,9 +42,13 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 PUBLIC_OCTETS = [n for n in range(1, 224) if n not in (10, 100, 127, 169, 172, 192, 198, 203)]
 
 _ALL_TITLES = "|".join(TITLES["f"] + TITLES["m"] + TITLES[""])
-_TITLE = rf"(?:(?:{_ALL_TITLES})\.?\x20)+"
 _ALL_GIVEN = "|".join(GIVEN_NAMES["f"] + GIVEN_NAMES["m"])
-_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{L}"
+_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{L}(?![\p{L}\p{N}])"
+# Groups repeat possessively, each time with what has to follow: the JVM then loops, where it would recurse and, on
+# long runs of titles or names, overflow its stack.
+_TITLE = rf"(?:(?:{_ALL_TITLES})\.?\x20(?={_WORD}))++"
+# Fixed value: labels of a domain name after the first and before the last, at most (names have at most 253 characters).
+_LABELS = 125
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Names of secrets may have a longer name before them; a look ahead for the sign skips other words.
 _SECRET_HEAD = (
@@ -60,10 +64,13 @@ _GROUPED = r"[0-9]{4}(?:(?:[\x20-][0-9]{4}){3}(?:[\x20-][0-9]{1,3})?|[\x20-][0-9
 # none begins inside an ASCII word or number: most places of a text are passed over at once.
 KINDS = {
     "name": (
-        rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{_TITLE}{_WORD}|(?:{_ALL_GIVEN})\x20{_WORD})(?:\x20{_WORD})*(?![\p{{L}}\p{{N}}])"
+        rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{_TITLE}{_WORD}|(?:{_ALL_GIVEN})\x20{_WORD})(?:\x20{_WORD})*+"
     ),
     "secret": _SECRET_HEAD + r"(?=[^\s\"']*[0-9])[^\s\"']{5,}[^\s\"'.,;:!?)]",
-    "email": r"(?=[A-Za-z0-9._%+-]{1,64}@)[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": (
+        r"(?=[A-Za-z0-9._%+-]{1,64}@)[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
+        rf"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{0,{_LABELS}}}\.[A-Za-z]{{2,}}"
+    ),
     "access": r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?=[0-9]{{1,3}}\.)(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
