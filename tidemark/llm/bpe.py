@@ -35,7 +35,7 @@ class PrefixVocabulary:
         self.merges: dict[tuple[int, int], int] = {}
         self.longest = 1
         self.ending: ahocorasick.Automaton | None = None
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by the left token times 2 ** 32 plus the right one
         # In order of rank: a token's halves are its encoding by the tokens before it.
         for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
             if len(token) == 1:
@@ -66,11 +66,12 @@ class PrefixVocabulary:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether BPE leaves ``left`` and ``right`` apart: no merge across their border comes first."""
-        known = self._pairs.get((left, right))
+        pair = left << 32 | right
+        known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) > CACHED_PIECES:
                 self._pairs.clear()
-            known = self._pairs[left, right] = self._stay_apart(left, right)
+            known = self._pairs[pair] = self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -115,17 +116,21 @@ class PrefixCode:
             for end in range(len(last) + 1, len(self.data) + 1):
                 last.append(self._last_token(end))
             return
-        may_follow, before = vocabulary.may_follow, at + 1
+        may_follow, pairs, before, done = vocabulary.may_follow, vocabulary._pairs, at + 1, len(last)
         for place, (length, token) in vocabulary.ending.iter(self.data[at:].decode("latin-1")):
             end = place + before
-            if end <= len(last):
+            if end <= done:
                 continue
-            start = end - length
-            if start == 0 or start <= len(last) and may_follow(last[start - 1], token):
-                if end > len(last) + 1:
-                    break
-                last.append(token)
-        if len(last) < len(self.data):
+            if end > done + 1:
+                break
+            if length < end:
+                left = last[end - length - 1]
+                apart = pairs.get(left << 32 | token)
+                if not (may_follow(left, token) if apart is None else apart):
+                    continue
+            last.append(token)
+            done = end
+        if done < len(self.data):
             raise ValueError(f"no token for byte {self.data[len(last)]}")
 
     def _last_token(self, end: int) -> int:

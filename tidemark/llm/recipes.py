@@ -20,6 +20,8 @@ from tidemark.llm.common import ASCII_SPACE, blobs, small, written
 
 # Texts that are cut together: what a task makes of their bytes is several times as large.
 TEXTS_AT_ONCE = 256
+# Row numbers that are broadcast, at most (16 bytes each in the table that tasks look them up in).
+BROADCAST_ROWS = 1 << 20
 # A cut follows each byte where the hash of the last WINDOW bytes has its CUT_BITS low bits zero.
 WINDOW, CUT_BITS = 16, 11
 SHORTEST, LONGEST = 512, 16_384
@@ -169,13 +171,16 @@ def exact_groups(source: DataFrame) -> DataFrame:
             F.bitwise_not("row_id").alias("row"),
         )
     )
-    groups = recipes.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("group_size"))
-    return recipes.join(groups, "recipe").select(
+    # Written, so that both sides of the join are plain shuffles and a recipe that many rows have can be split.
+    counted = recipes.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("group_size"))
+    groups = written(counted.where("group_size > 1"), "groups")
+    alone = F.col("group_size").isNull()
+    return recipes.join(groups, "recipe", "left").select(
         "id",
         "row_id",
-        F.bitwise_not(F.col("best.id")).alias("keep_id"),
-        "group_size",
-        (F.bitwise_not(F.col("best.row")) == F.col("row_id")).alias("kept"),
+        F.when(alone, F.col("id")).otherwise(F.bitwise_not(F.col("best.id"))).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (alone | (F.bitwise_not(F.col("best.row")) == F.col("row_id"))).alias("kept"),
         F.lower(F.hex("sha256")).alias("text_sha256"),
     )
 
@@ -183,14 +188,16 @@ def exact_groups(source: DataFrame) -> DataFrame:
 def keep_distinct_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, by the rule of ``dedup_exact``, with all their columns.
 
-    ``docs`` has to be read the same way twice (a table), since its rows are numbered.
+    ``docs`` has to be read the same way twice (a table), since its rows are numbered.  Texts stay where they are
+    as long as the numbers of the rows that go can be broadcast; beyond ``BROADCAST_ROWS`` they are shuffled.
     """
     numbered = docs.select(F.struct(*(docs[name] for name in docs.columns)).alias("doc"), F.monotonically_increasing_id().alias("row_id"))
     source = numbered.select(
         F.col("doc")[id_col].cast("long").alias("id"), F.col("doc")[text_col].cast("string").alias("text"), "row_id"
     )
-    kept = exact_groups(source).where("kept").select("row_id")
-    return numbered.join(kept, "row_id", "left_semi").select(*(F.col("doc")[name].alias(name) for name in docs.columns))
+    gone = written(exact_groups(source).where("not kept").select("row_id"), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    return numbered.join(F.broadcast(gone) if few else gone, "row_id", "left_anti").select(*(F.col("doc")[name].alias(name) for name in docs.columns))
 
 
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,8 +207,8 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     NULL id last), then the first of repeated rows.  Returns one row per row of ``docs``: ``id_col``,
     ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` (of the text without white space).  NULL
     text counts as empty and all empty texts are equal; an empty table gives an empty one; other
-    columns are not looked at.  A group's best row comes from a partial aggregate and joins back, so
-    a text that a third of all rows have is not gathered.
+    columns are not looked at.  A group's best row comes from a partial aggregate, is written and
+    joins back; the rows of a text that a third of all have are then a skewed join key, which adaptive execution splits.
     """
     source = docs.select(
         docs[id_col].cast("long").alias("id"),
