@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import read_table
 from tidemark.llm.context_tree import score_texts
+from tidemark.llm.conversations import conversation_digests, damage
+from tidemark.llm.extraction import extract_main_text
 from tidemark.llm.language import identify_language
 from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
@@ -18,6 +20,7 @@ from tidemark.llm.quality import score_quality
 from tidemark.llm.recipes import dedup_exact
 from tidemark.llm.surrogates import replace_personal_data
 from tidemark.llm.warc import archive_pages
+from tidemark.llm.whitening import whiten
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # A user of the library passes a secret of their own; this one makes results repeatable.
@@ -72,6 +75,18 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_digests(damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op12_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"), components=4).drop("eigenvalue")
+
+
+def op13_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 # Base 32 of the SHA-1: each five hex digits are twenty bits, four digits of base 32.
 OP2_SQL = """
 WITH payloads AS (
@@ -120,6 +135,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_codes": op8_language_codes,
         "op9_posting_lists": op9_posting_lists,
         "op10_quality_discriminant": op10_quality_discriminant,
+        "op11_audit_repair": op11_audit_repair,
+        "op12_spectrum_whitening": op12_spectrum_whitening,
+        "op13_cut_extraction": op13_cut_extraction,
     }
 
 
