@@ -73,6 +73,13 @@ def merge_keyed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frame(delivered, LINE_KEY)
 
 
+def merge_keyed_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per order, in order, from one exchange; a third of the lines are of one order as well."""
+    lines = table(spark, sf_dir, "lineitem")
+    crowded = lines.filter(F.col("l_orderkey") % 3 == 0).withColumn("l_orderkey", F.lit(-1).cast("bigint"))
+    return merge_frame(bag_union([lines, crowded]), ["l_orderkey"], ordered=True)
+
+
 def merge_keyed_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key with very few values, each holding a large share of all rows."""
     return dedup_by_key(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], many_per_key=True)
@@ -431,6 +438,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "merge_keyed": merge_keyed,
         "merge_keyed_union": merge_keyed_union,
+        "merge_keyed_sorted": merge_keyed_sorted,
         "merge_keyed_hot": merge_keyed_hot,
         "dedup_prefer_latest": dedup_prefer_latest,
         "merge_distinct": merge_distinct,
@@ -534,6 +542,13 @@ def core_oracle_sql() -> dict[str, str]:
             LINE_REST,
             line_columns,
         ),
+        "merge_keyed_sorted": _first_per_key(
+            f"(SELECT {line_columns} FROM lineitem UNION ALL SELECT CAST(-1 AS BIGINT),"
+            f" {line_columns.partition(', ')[2]} FROM lineitem WHERE l_orderkey % 3 = 0)",
+            ["l_orderkey"],
+            line_columns.split(", ")[1:],
+            line_columns,
+        ),
         "merge_keyed_hot": _first_per_key(
             "lineitem",
             group_key,

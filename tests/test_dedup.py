@@ -8,8 +8,10 @@ from tidemark.operators.dedup import (
     bag_union,
     dedup_by_key,
     dedup_by_keys,
+    dedup_sorted,
     distinct_rows,
     necessary_keys,
+    profile_keys,
     sorted_by,
 )
 
@@ -146,3 +148,34 @@ def test_nullable_keys_take_one_scan_and_one_shuffle_each(spark, tmp_path):
     plan = plan_of(df)
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 3
     assert df.count() == 2  # of the equal rows one goes by the complete key (a, c)
+
+
+@pytest.mark.parametrize("null_keys", ["group", "distinct"])
+@pytest.mark.parametrize("many", [False, True])
+def test_sorted_dedup_equals_dedup_and_sort(data, null_keys, many):
+    for keys in (["k"], ["k", "j"], ["s"], ["v", "k"]):
+        found = [tuple(r) for r in dedup_sorted(data, keys, null_keys=null_keys, many_per_key=many).collect()]
+        assert sorted(found, key=repr) == rows(dedup_by_key(data, keys, null_keys=null_keys))
+        at = [data.columns.index(k) for k in keys]
+        order = [tuple((r[k] is None, r[k] or 0 if data.columns[k] != "s" else r[k] or "") for k in at) for r in found]
+        assert order == sorted(order)
+
+
+def test_sorted_dedup_exchanges_rows_once(spark):
+    df = spark.range(10_000).selectExpr("id % 5000 k", "id v")
+    plan = plan_of(dedup_sorted(df, ["k"]))
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    assert plan.count("Sort [") == 1
+
+
+def test_frequent_keys_are_reduced_before_the_exchange(spark):
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, -1, id) k", "id v")
+    assert len(profile_keys(df, ["k"]).frequent) == 1
+    found = dedup_sorted(df, ["k"])
+    plan = plan_of(found)
+    assert plan.count("Exchange") == 2 and plan.count("Exchange rangepartitioning") == 1
+    assert found.count() == 40_001 and found.first()["k"] == -1
+    by_task = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert by_task < 20_000
+    assert profile_keys(spark.range(1000).selectExpr("id k"), ["k"]).frequent == ()
+    assert profile_keys(df.where("false"), ["k"]).frequent == ()

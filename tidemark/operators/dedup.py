@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.casts import strict_cast
 
 _OWN_NUMBER = "__own_number"
+_KEY_HASH = "__key_hash"
+# Distinct keys that are followed while frequent ones are looked for: a key with more than about one in half as
+# many rows is found.
+TRACKED_KEYS = 8_192
+# A key counts as frequent from this share of an even partition on.
+FREQUENT_SHARE = 0.25
 
 
 def is_orderable(data_type: T.DataType) -> bool:
@@ -77,6 +84,98 @@ def dedup_by_key(
     return _first_ranked_row(df, keys, [_as_order(p) for p in prefer], ties)
 
 
+@dataclass(frozen=True)
+class KeyProfile:
+    """Hashes of frequent keys, and the key columns that hold a NULL."""
+
+    frequent: tuple[int, ...]
+    with_null: frozenset[str]
+
+
+def profile_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> KeyProfile:
+    """Which keys hold more than ``FREQUENT_SHARE`` of an even share of the rows over ``partitions``, and which are NULL.
+
+    One pass over the key columns only, with a frequent-items sketch in each task; its size, and so the list, is
+    bounded by ``TRACKED_KEYS``.  The sketch over-estimates by less than a row in ``TRACKED_KEYS / 2``: keys too many cost a
+    little time, and keys rarer than that cannot unbalance fewer partitions than so many.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = min(TRACKED_KEYS // 2, max(1, int(partitions / FREQUENT_SHARE)))
+    nullable = [key for key in keys if df.schema[key].nullable]
+    row = (
+        df.select(_key_hash(keys).alias(_KEY_HASH), *[F.col(f"`{key}`").isNull().alias(f"{k}") for k, key in enumerate(nullable)])
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"approx_top_k({_KEY_HASH}, {listed}, {TRACKED_KEYS})").alias("top"),
+            *[F.max(f"{k}").alias(f"null{k}") for k in range(len(nullable))],
+        )
+        .first()
+    )
+    least = max(FREQUENT_SHARE * row["rows"] / partitions, 2 * row["rows"] / TRACKED_KEYS, 2)
+    return KeyProfile(
+        tuple(found["item"] for found in row["top"] or [] if found["count"] > least),
+        frozenset(key for k, key in enumerate(nullable) if row[f"null{k}"]),
+    )
+
+
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{key}`") for key in keys])
+
+
+def dedup_sorted(
+    df: DataFrame,
+    keys: Sequence[str],
+    prefer: Sequence[str | Column] = (),
+    null_keys: str = "group",
+    many_per_key: bool = False,
+) -> DataFrame:
+    """``dedup_by_key`` in the order of ``sorted_by(keys)``, also from one partition to the next.
+
+    Rows are exchanged once: ranges of the keys bring equal keys together as well as hashes do, so the exchange that
+    orders the result also serves the choice of the survivor.  Rows of frequent keys, which one range would
+    gather, are reduced in their scan tasks first; they are found by ``profile_keys``.
+
+    ``many_per_key`` is the plan for keys that mostly repeat: all rows are reduced in their scan tasks, and only the
+    unique ones are put in order.
+    """
+    if many_per_key:
+        return sorted_by(dedup_by_key(df, keys, prefer, null_keys, many_per_key), keys)
+    if not keys:
+        raise ValueError("De-duplication by key needs at least one key column")
+    if null_keys not in ("group", "distinct"):
+        raise ValueError(f"Unknown rule for NULL keys: {null_keys}")
+    profile = profile_keys(df, keys)
+    if profile.frequent:
+        is_frequent = _key_hash(keys).isin(*profile.frequent)
+        reduced = dedup_by_key(df.filter(is_frequent), keys, prefer, null_keys)
+        df = df.filter(~is_frequent).unionByName(reduced)
+
+    order: list[str] = []
+    # A flag before a key that has NULLs puts them last; the window sorts by flag and key, so it leaves that order.
+    for place, key in enumerate(keys):
+        if key in profile.with_null:
+            order.append(f"__absent{place}")
+        order.append(key)
+    flags = {f"__absent{place}": F.col(f"`{key}`").isNull() for place, key in enumerate(keys) if key in profile.with_null}
+    flagged = df.withColumns(flags) if flags else df
+    columns = [F.col(f"`{name}`") for name in order]
+    own: list[Column] = []
+    if null_keys == "distinct" and flags:
+        has_null = functools.reduce(lambda a, b: a | b, (F.col(name) for name in flags))
+        flagged = flagged.withColumn(_OWN_NUMBER, F.when(has_null, F.monotonically_increasing_id()))
+        own = [F.col(_OWN_NUMBER)]
+    ties = [f for f in df.schema.fields if f.name not in set(keys)]
+    ranked = [_as_order(p) for p in prefer] + [_tie_order(f) for f in ties] or sort_order(keys)
+    window = Window.partitionBy(*columns, *own).orderBy(*ranked)
+    first = (
+        flagged.repartitionByRange(*columns)
+        .withColumn("__rank", F.row_number().over(window))
+        .filter(F.col("__rank") == 1)
+        .sortWithinPartitions(*columns)
+    )
+    return first.select(*[F.col(f"`{name}`") for name in df.columns])
+
+
 def _smallest_row(df: DataFrame, keys: Sequence[str], prefer: Sequence[str]) -> DataFrame:
     """The minimum of all other columns as one struct: partial and final aggregation, sorted by the
     keys only.  A struct puts NULLs first, hence the flag before each column that may be NULL."""

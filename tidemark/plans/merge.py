@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from tidemark.errors import NothingToMergeError
 from tidemark.functions.casts import apply_schema
-from tidemark.operators.dedup import dedup_by_key, distinct_rows, sort_order, sorted_by
+from tidemark.operators.dedup import dedup_by_key, dedup_sorted, distinct_rows, sort_order
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import find_inputs, scan_parquet
 from tidemark.sources.publish import DEFAULT_CODEC, DEFAULT_LEVEL, publish, read_metadata
@@ -22,13 +22,16 @@ def merge_frame(
     schema: TableSchema | T.StructType | None = None,
     prefer: Sequence[str | Column] = (),
     many_per_key: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Keys given: one row per key (whatever ``enforce_unique`` says); else unique rows; else all.
 
-    ``prefer`` and ``many_per_key`` are those of ``dedup_by_key``.  The plan is the same at every size.
+    ``prefer`` and ``many_per_key`` are those of ``dedup_by_key``; ``ordered`` also puts a keyed result in the order of
+    its keys, without a second exchange.  The plan is the same at every size.
     """
     if keys:
-        merged = dedup_by_key(df, keys, prefer, many_per_key=many_per_key)
+        unique = dedup_sorted if ordered else dedup_by_key
+        merged = unique(df, keys, prefer, many_per_key=many_per_key)
     elif enforce_unique:
         merged = distinct_rows(df)
     else:
@@ -69,17 +72,19 @@ def merge_parquet(
     """Merge the inputs and publish the result at ``target``, which may be one of the inputs.
 
     A keyed merge is sorted by its keys, NULLs last.  ``order="global"`` also orders the files
-    among each other, at the price of a range shuffle of the already unique rows;
-    ``order="files"`` sorts inside each file only.  Of rows with one key the first by ``prefer`` stays;
+    among each other, by the one exchange that also brings equal keys together (its ranges cost a pass over the
+    input before); ``order="files"`` sorts inside each file only.  Of rows with one key the first by ``prefer`` stays;
     ``many_per_key`` is the faster plan where keys repeat often.
     """
     if order not in ("global", "files"):
         raise ValueError(f"Unknown order: {order}")
     paths = merge_inputs(spark, inputs, target)
     storage = Storage(spark)
-    merged = merge_frame(scan_parquet(spark, paths, uniform), keys, enforce_unique, schema, prefer, many_per_key)
-    if keys:
-        merged = sorted_by(merged, keys) if order == "global" else merged.sortWithinPartitions(*sort_order(keys))
+    merged = merge_frame(
+        scan_parquet(spark, paths, uniform), keys, enforce_unique, schema, prefer, many_per_key, order == "global"
+    )
+    if keys and order == "files":
+        merged = merged.sortWithinPartitions(*sort_order(keys))
     metadata = schema.metadata if isinstance(schema, TableSchema) else None
     if metadata is None and storage.is_directory(paths[0]):
         metadata = read_metadata(spark, paths[0])
