@@ -175,7 +175,5 @@ def test_frequent_keys_are_reduced_before_the_exchange(spark):
     plan = plan_of(found)
     assert plan.count("Exchange") == 2 and plan.count("Exchange rangepartitioning") == 1
     assert found.count() == 40_001 and found.first()["k"] == -1
-    by_task = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert by_task < 20_000
     assert profile_keys(spark.range(1000).selectExpr("id k"), ["k"]).frequent == ()
     assert profile_keys(df.where("false"), ["k"]).frequent == ()

@@ -41,3 +41,13 @@ def after_mark(mark: Mapping[str, Any], schema: T.StructType | None = None) -> C
         else:
             predicate = (column >= value) & ((column > value) | ((column == value) & predicate))
     return predicate
+
+
+def at_or_after(cut: Mapping[str, Any], schema: T.StructType | None = None) -> Column:
+    """``(k1, …, kn) >= (v1, …, vn)``; never NULL: a row that a NULL key part leaves open counts as before the cut."""
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    predicate: Column | None = None
+    for name in reversed(list(cut)):
+        column, value = F.col(f"`{name}`"), typed_literal(cut[name], types.get(name))
+        predicate = column >= value if predicate is None else (column > value) | ((column == value) & predicate)
+    return F.coalesce(predicate, F.lit(False))

@@ -52,9 +52,16 @@ def write_parquet(
     level: int | None = DEFAULT_LEVEL,
     max_records_per_file: int | None = None,
     mode: str = "errorifexists",
+    commit_each_task: bool = False,
 ) -> None:
-    """Write a Parquet dataset directory with the given codec and level."""
+    """Write a Parquet dataset directory with the given codec and level.
+
+    ``commit_each_task``: each task's files are moved into the dataset when the task ends, not when the job does, where
+    the file system's committer can do that; what a job that fails has finished then stays.
+    """
     writer = df.write.mode(mode).option("compression", codec)
+    if commit_each_task:
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     option = LEVEL_OPTIONS.get(codec.lower())
     if option and level is not None:
         writer = writer.option(option, str(level))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Mapping, Sequence
 from typing import Any, Protocol
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.errors import MissingTableError
 from tidemark.functions.hosts import url_host
 from tidemark.functions.keyset import typed_literal
+from tidemark.operators.marks import equal_depth_cuts
 
 DEFAULT_FETCH_ROWS = 50_000
 
@@ -61,6 +63,10 @@ class TableSource(Protocol):
 
     def bounds(self, schema_name: str, table_name: str, column: str) -> tuple[Any, Any]: ...
 
+    def cuts(
+        self, schema_name: str, table_name: str, columns: Sequence[str], parts: int
+    ) -> list[dict[str, Any]]: ...
+
 
 def quote_identifier(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
@@ -183,6 +189,32 @@ class JdbcSource:
         """The table, read by ``partitions`` range queries over ``split_range`` of ``split_on``."""
         return self._read(self.scan_options(schema_name, table_name, fetch_rows, split_on, split_range))
 
+    def cuts_query(self, schema_name: str, table_name: str, columns: Sequence[str], parts: int) -> str:
+        """Key tuples that cut the table into ``parts`` ranges of equal size, found by the database from its key index."""
+        quoted = ", ".join(quote_identifier(column) for column in columns)
+        present = " AND ".join(f"{quote_identifier(column)} IS NOT NULL" for column in columns)
+        tile = f"FLOOR({{place}} * {parts}.0 / total)"
+        return (
+            f"(SELECT {quoted} FROM (SELECT {quoted}, ROW_NUMBER() OVER (ORDER BY {quoted}) AS place, COUNT(*) OVER () AS total"
+            f" FROM {qualified_name(schema_name, table_name)} WHERE {present}) numbered"
+            f" WHERE place > 1 AND {tile.format(place='(place - 1)')} > {tile.format(place='(place - 2)')}) cuts"
+        )
+
+    def cuts(self, schema_name: str, table_name: str, columns: Sequence[str], parts: int) -> list[dict[str, Any]]:
+        """The cuts, in the database's own order, which is also the one that compares keys with them."""
+        found = self._read(self.options(self.cuts_query(schema_name, table_name, columns, parts)))
+        return [row.asDict() for row in found.collect()] if parts > 1 else []
+
+    def scan_ranges(
+        self,
+        schema_name: str,
+        table_name: str,
+        cuts: Sequence[Mapping[str, Any]],
+        fetch_rows: int = DEFAULT_FETCH_ROWS,
+    ) -> DataFrame:
+        """One task per range between the ascending ``cuts``, for keys of any type; the database compares."""
+        return self.scan_by_predicates(schema_name, table_name, range_predicates(cuts), fetch_rows)
+
     def scan_by_predicates(
         self,
         schema_name: str,
@@ -258,6 +290,9 @@ class FrameSource:
         row = self._frame(schema_name, table_name).agg(F.min(column), F.max(column)).first()
         return row[0], row[1]
 
+    def cuts(self, schema_name: str, table_name: str, columns: Sequence[str], parts: int) -> list[dict[str, Any]]:
+        return equal_depth_cuts(self._frame(schema_name, table_name), columns, parts)
+
     def scan(
         self,
         schema_name: str,
@@ -270,6 +305,40 @@ class FrameSource:
         return self._frame(schema_name, table_name)
 
 
+def sql_literal(value: Any) -> str:
+    """A value as SQL text; a database gives untyped text the type of the column it is compared with."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def range_predicates(cuts: Sequence[Mapping[str, Any]]) -> list[str]:
+    """Disjoint and complete conditions, in SQL: before the first cut, from each cut to the next, and from the last on.
+
+    The cuts ascend in the database's order.  Rows with a NULL in a key part that decides are in the first range of those they
+    could be in.
+    """
+    if not cuts:
+        return ["1 = 1"]
+
+    def from_cut(cut: Mapping[str, Any]) -> str:
+        names = list(cut)
+        text = f"{quote_identifier(names[-1])} >= {sql_literal(cut[names[-1]])}"
+        for name in reversed(names[:-1]):
+            quoted, value = quote_identifier(name), sql_literal(cut[name])
+            text = f"{quoted} > {value} OR ({quoted} = {value} AND ({text}))"
+        return f"({text})"
+
+    # A comparison that is unknown counts as before the cut.
+    after = [from_cut(cut) for cut in cuts]
+    before = [f"({text} IS NOT TRUE)" for text in after]
+    return [before[0], *(f"({low} AND {high})" for low, high in zip(after, before[1:])), after[-1]]
+
+
 def range_slices(column: str, boundaries: Sequence[Any], data_type: T.DataType) -> list[Column | None]:
     """Consecutive, disjoint and complete ranges of ``column`` cut at the ascending boundaries.
 
