@@ -37,8 +37,18 @@ def blobs(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``rows`` rows, so that what a task makes of a batch stays small beside it."""
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256, most_bytes: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows, so that what a task makes of a batch stays small beside it.
+
+    With ``most_bytes`` slices are halved down to so many bytes, or one row.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            waiting = [batch.slice(at, rows)]
+            while waiting:
+                part = waiting.pop()
+                if most_bytes is not None and part.num_rows > 1 and part.nbytes > most_bytes:
+                    half = part.num_rows // 2
+                    waiting += [part.slice(half), part.slice(0, half)]
+                else:
+                    yield part

@@ -18,12 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import LOWER_ASCII, blobs, remainder, small, written
-from tidemark.llm.ngram_join import CACHED_WORDS, _mix, _word_hashes
+from tidemark.llm.ngram_join import CACHED_WORDS, _mix, _word_hashes, hashes_of
 
 BORDER = 255  # never a byte of UTF-8: stands before and after each text
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -34,10 +33,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     words, known = text.translate(LOWER_ASCII).split(), _word_hashes()
     if len(known) > CACHED_WORDS:
         known.clear()
-    for word in set(words):
-        if word not in known:
-            known[word] = xxhash.xxh3_64_intdigest(word)
-    return np.array(list(map(known.__getitem__, words)), np.uint64)
+    return hashes_of(words, known)
 
 
 def byte_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:

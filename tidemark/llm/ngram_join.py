@@ -28,7 +28,8 @@ from tidemark.llm.common import LOWER_ASCII, blobs, small, written
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 17  # words met before, at most so many and none longer than CACHED_BYTES
+CACHED_BYTES = 64
 GROUP_PART = 1_024  # members of a group that one row or task takes
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -47,6 +48,22 @@ def _word_hashes() -> dict[bytes, int]:
     return {}
 
 
+def hashes_of(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """The hash of each word; short ones are remembered in ``known``."""
+    try:
+        return np.array(list(map(known.__getitem__, words)), np.uint64)
+    except KeyError:
+        found = []
+        for word in words:
+            value = known.get(word)
+            if value is None:
+                value = xxhash.xxh3_64_intdigest(word)
+                if len(word) <= CACHED_BYTES:
+                    known[word] = value
+            found.append(value)
+        return np.array(found, np.uint64)
+
+
 def shingle_set(text: bytes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a whole text."""
     words, known = text.translate(LOWER_ASCII).split(), _word_hashes()
@@ -54,13 +71,7 @@ def shingle_set(text: bytes) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(known) > CACHED_WORDS:
         known.clear()
-    try:
-        hashes = np.array(list(map(known.__getitem__, words)), np.uint64)
-    except KeyError:
-        for word in words:
-            if word not in known:
-                known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.array(list(map(known.__getitem__, words)), np.uint64)
+    hashes = hashes_of(words, known)
     if len(words) < SHINGLE_WORDS:
         return _mix(np.array([(hashes * _FACTORS[: len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))], np.uint64))
     n = len(words) - SHINGLE_WORDS + 1
@@ -161,7 +172,7 @@ def _key_blobs(percent: int, buckets: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch in small(batches, 2_048):
+        for batch in small(batches, 2_048, 16 << 20):
             sizes, nodes, sketches, least, keys, owners, seen = [], [], [], [], [], [], set()
             for doc_id, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
                 hashes = shingle_set(text or b"")
