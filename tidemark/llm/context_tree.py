@@ -424,9 +424,11 @@ def score_texts(
 
     asked = rows_of(merged.where("kind = 'word'").select("block", "keys", "counts"), 0).union(rows_of(answers, 1))
     held_docs = rows_of(source.withColumn("block", F.spark_partition_id()), 2)
+    # One task a block, as large as a scan partition: hashes of block numbers would bring several together.
+    blocks = 1 + (items.agg(F.max("block")).first()[0] or 0)
     scored = (
         asked.union(held_docs)
-        .repartition("block")
+        .repartitionById(blocks, F.col("block"))
         .sortWithinPartitions("block", "kind")
         .mapInArrow(
             _score_blocks(depth, total, distinct, texts_taught),
