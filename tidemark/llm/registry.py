@@ -25,6 +25,8 @@ from tidemark.llm.whitening import whiten
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # A user of the library passes a secret of their own; this one makes results repeatable.
 SURROGATE_KEY = "tidemark"
+# So short that a good part of ordinary pages is cut into continuation records and put together again.
+SEGMENT_BYTES = 2_048
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -33,7 +35,7 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(read_table(spark, sf_dir, "pages"), smallest_revisit=0)
+    return archive_pages(read_table(spark, sf_dir, "pages"), smallest_revisit=0, segment_bytes=SEGMENT_BYTES)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
