@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import blobs, remainder, small, written
 
+BROADCAST_LABELS = 1 << 20  # ids of 8 bytes
+
 # Classes of bytes counted in a text.
 SPACE, UPPER, LOWER, DIGIT, SYMBOL, OTHER = range(6)
 _CLASS = np.full(256, OTHER, np.uint8)
@@ -176,8 +178,15 @@ def taught_discriminant(table: DataFrame, labels: DataFrame, folds: int, held_fo
 def keep_good(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held_fold: int = 0, text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose score is at least ``threshold``, with all their columns; no row is moved."""
-    model = taught_discriminant(document_statistics(docs, text_col=text_col), labels, folds, held_fold)
+    """The rows of ``docs`` whose score is at least ``threshold``, with all their columns.
+
+    Statistics of all rows are computed once, to score them; before, those of labelled rows only.  No row is moved as
+    long as the labels' ids can be broadcast (``BROADCAST_LABELS``).
+    """
+    named = labels.select(F.col("doc_id").cast("long").alias("label_id")).distinct()
+    few = named.count() <= BROADCAST_LABELS
+    labelled = docs.join(F.broadcast(named) if few else named, docs["doc_id"].cast("long") == F.col("label_id"), "left_semi")
+    model = taught_discriminant(document_statistics(labelled, text_col=text_col), labels, folds, held_fold)
     place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
