@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +23,7 @@ from tidemark.operators.grid import (
     pivot_mean_wide,
     variable_arrays,
 )
-from tidemark.operators.marks import high_water_mark, read_mark, scan_after
+from tidemark.operators.marks import equal_depth_cuts, high_water_mark, range_number, read_mark, scan_after
 from tidemark.operators.retype import retype_columns, retype_report
 from tidemark.operators.statistics import PERCENTILES, daily_means, day_statistics, rolling_means
 from tidemark.plans.extract import FETCHES_PER_CHECKPOINT, TableKeys, dump_table, unique_by_table_keys
@@ -189,6 +190,54 @@ def dump_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(output)
 
 
+def _balanced_slices(spark: SparkSession, df: DataFrame, keys: list[str], label: str, parts: int = 8) -> DataFrame:
+    """How many rows the slices of a table hold, and whether none has more than twice as many as another."""
+    cuts = equal_depth_cuts(df, keys, parts)
+    depths = df.groupBy(range_number(cuts, df).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    return depths.agg(
+        F.lit(label).alias("key"),
+        F.sum("n").alias("rows"),
+        F.count(F.lit(1)).alias("slices"),
+        (F.max("n") <= 2 * F.min("n")).alias("balanced"),
+    )
+
+
+def equal_depth_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of equal depth of a text key, of a skewed number, and of a key of columns of which the first has three values."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    text = orders.select(F.concat(F.lit("order "), F.md5(F.col("o_orderkey").cast("string"))).alias("k"))
+    # Nine tenths of the rows in the first tenth of the range.
+    skewed = orders.select(F.when(F.col("o_orderkey") % 10 == 0, F.col("o_orderkey") * 10).otherwise(F.col("o_orderkey")).alias("k"))
+    pair = lines.select("l_returnflag", "l_orderkey", "l_linenumber")
+    found = [
+        _balanced_slices(spark, text, ["k"], "text"),
+        _balanced_slices(spark, skewed, ["k"], "skewed"),
+        _balanced_slices(spark, pair, pair.columns, "several columns"),
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def dump_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose key is text, extracted in four slices of equal depth by one scan."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderkey", F.md5(F.col("o_orderkey").cast("string")))
+    output = scratch_path(spark, "dump_text_key")
+    source = FrameSource(spark, {("public", "orders"): orders}, {("public", "orders"): [("PRIMARY KEY", ["o_orderkey"])]})
+    dump_table(source, "public", "orders", f"{output}/orders", slices=4)
+    return spark.read.parquet(f"{output}/orders")
+
+
+def dump_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An output one of whose files was overwritten with junk: appending leaves it out and reads its rows again."""
+    orders = table(spark, sf_dir, "orders")
+    output = f"{scratch_path(spark, 'dump_damaged')}/orders"
+    source = FrameSource(spark, {("public", "orders"): orders}, {("public", "orders"): [("PRIMARY KEY", ["o_orderkey"])]})
+    dump_table(source, "public", "orders", output, slices=2)
+    storage = Storage(spark)
+    storage.write_bytes(next(f.path for f in storage.children(output) if not f.is_directory), b"junk" * 64)
+    dump_table(source, "public", "orders", output, on_conflict=OnConflict.APPEND, incremental=True)
+    return spark.read.parquet(output)
+
+
 def dump_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first extraction of finished orders, then an incremental one of the whole table."""
     orders = table(spark, sf_dir, "orders")
@@ -455,6 +504,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exclude_columns": exclude_columns,
         "dump_table": dump_orders,
         "dump_append": dump_append,
+        "dump_text_key": dump_text_key,
+        "dump_damaged": dump_damaged,
+        "equal_depth_slices": equal_depth_slices,
         "post_process": post_process_events,
         "cast_schema": cast_schema,
         "retype_columns": retype_lines,
@@ -603,6 +655,16 @@ def core_oracle_sql() -> dict[str, str]:
             order_columns,
         ),
         "dump_append": _first_per_key("orders", ["o_orderkey"], order_rest, order_columns),
+        "dump_text_key": (
+            f"SELECT md5(CAST(o_orderkey AS VARCHAR)) AS o_orderkey, {', '.join(order_rest)}"
+            f" FROM ({_first_per_key('orders', ['o_orderkey'], order_rest, order_columns)})"
+        ),
+        "dump_damaged": _first_per_key("orders", ["o_orderkey"], order_rest, order_columns),
+        "equal_depth_slices": (
+            "SELECT 'text' AS key, count(*) AS rows, CAST(8 AS BIGINT) AS slices, true AS balanced FROM orders"
+            " UNION ALL SELECT 'skewed', count(*), CAST(8 AS BIGINT), true FROM orders"
+            " UNION ALL SELECT 'several columns', count(*), CAST(8 AS BIGINT), true FROM lineitem"
+        ),
         "post_process": "SELECT * FROM events",
         "cast_schema": (
             "SELECT event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type,"

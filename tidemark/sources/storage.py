@@ -65,6 +65,15 @@ class Storage:
         file_system, hadoop_path = self._resolve(path)
         file_system.delete(hadoop_path, True)
 
+    def write_bytes(self, path: str, content: bytes) -> None:
+        """Put a small file in place of what is there."""
+        file_system, hadoop_path = self._resolve(path)
+        stream = file_system.create(hadoop_path, True)
+        try:
+            stream.write(bytearray(content))
+        finally:
+            stream.close()
+
     def read_text(self, path: str) -> str:
         """A small text file, such as a schema configuration."""
         return self._spark.read.text(path, wholetext=True).first()[0]
