@@ -2,8 +2,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from helpers import rows
 from tidemark.operators.dedup import dedup_by_key
+from tidemark.sources.storage import Storage
 from tidemark.streaming.compaction import Compaction
 from tidemark.streaming.distinct import append_distinct
 
@@ -115,3 +118,70 @@ def test_stateful_distinct(spark, tmp_path, files):
     deliver(spark, tmp_path / "in", [(3, "z"), (4, "e")])
     found = append_distinct(spark, stream(), ["k"], str(tmp_path / "out"), str(tmp_path / "state"))
     assert sorted(r["k"] for r in found.collect()) == [1, 2, 3, 4]
+
+
+def states(folder):
+    return {p.name: p.stat().st_mtime_ns for p in folder.glob("part-*")}
+
+
+@pytest.mark.parametrize("keys", [("k",), ("v", "k")])
+def test_a_fold_rewrites_only_ranges_it_touches(spark, tmp_path, keys):
+    compaction = compaction_of(spark, tmp_path, keys=keys, file_bytes=1_000)
+    main = tmp_path / "main"
+    first = [(k, f"v{k:05}") for k in range(2_000)]
+    compaction._write_run(spark.createDataFrame(first, DDL), 0)
+    compaction._write_run(spark.createDataFrame(first[:5], DDL), 1)
+    compaction.fold()
+    before = states(main)
+    assert len(before) > 5
+    compaction._write_run(spark.createDataFrame([(1_000, "v01000"), (1_001, "a")], DDL).coalesce(1), 2)
+    compaction.fold()
+    after = states(main)
+    kept = {name for name, state in before.items() if after.get(name) == state}
+    assert len(before) - len(kept) <= 2 and len(after) <= len(before) + 1
+    everything = spark.createDataFrame(first + [(1_001, "a")], DDL)
+    assert rows(spark.read.parquet(str(main))) == rows(dedup_by_key(everything, list(keys)))
+    # Ranges do not overlap, and each file is in order.
+    bounds = sorted(tuple(r) for r in spark.read.parquet(str(main)).groupBy(F.input_file_name()).agg(*[F.min(F.struct(*keys)), F.max(F.struct(*keys))]).drop("input_file_name()").collect())
+    assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_null_keys_and_growth_of_a_ranged_main(spark, tmp_path):
+    compaction = compaction_of(spark, tmp_path, file_bytes=1_000)
+    given = []
+    for number in range(4):
+        part = [(k if k % 50 else None, f"v{k}") for k in range(number * 400, number * 1_200 + 400)]
+        given += part
+        compaction._write_run(spark.createDataFrame(part, DDL), number)
+        compaction.fold()
+        assert rows(spark.read.parquet(compaction.main)) == rows(dedup_by_key(spark.createDataFrame(given, DDL), ["k"]))
+
+
+@pytest.mark.parametrize("done", [0, 1, 2])
+def test_an_interrupted_fold_is_completed(spark, tmp_path, monkeypatch, done):
+    compaction = compaction_of(spark, tmp_path, file_bytes=1_000)
+    first = [(k, f"v{k:05}") for k in range(1_000)]
+    compaction._write_run(spark.createDataFrame(first, DDL), 0)
+    compaction._write_run(spark.createDataFrame(first[:5], DDL), 1)
+    compaction.fold()
+    compaction._write_run(spark.createDataFrame([(1, "a"), (999, "a")], DDL), 2)
+    calls, rename = [], Storage.rename
+
+    def stop_after(self, source, target):
+        if "part-" in source:
+            calls.append(source)
+            if len(calls) > done:
+                raise KeyboardInterrupt
+        rename(self, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Storage, "rename", stop_after)
+        if done < 2:
+            with pytest.raises(KeyboardInterrupt):
+                compaction.fold()
+        else:
+            compaction.fold()
+    compaction.fold()
+    expected = [(k, "a" if k in (1, 999) else v) for k, v in first]
+    assert rows(spark.read.parquet(compaction.main)) == sorted(expected, key=repr)
+    assert compaction.pending() == [] and not [p for p in tmp_path.iterdir() if p.name.startswith(("_fold", "_staging"))]

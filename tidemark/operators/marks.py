@@ -78,11 +78,15 @@ def equal_depth_cuts(df: DataFrame, keys: Sequence[str], parts: int) -> list[dic
 
 
 def range_number(cuts: Sequence[Mapping[str, Any]], df: DataFrame) -> Column:
-    """How many of the ascending cuts a row is at or after."""
-    number = F.lit(0)
-    for cut in cuts:
-        number = number + at_or_after(cut, df.schema).cast("int")
-    return number
+    """How many of the ascending cuts a row is at or after: a binary search, written out as an expression."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(at_or_after(cuts[middle], df.schema), between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(cuts))
 
 
 def in_ranges(df: DataFrame, cuts: Sequence[Mapping[str, Any]], chosen: Sequence[int]) -> DataFrame:

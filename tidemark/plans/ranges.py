@@ -52,7 +52,8 @@ class RangedCheckpoint:
     def last_range_is_complete(self) -> bool:
         return all(unit in self.done for unit in range(self.units - self.splits, self.units))
 
-    def _unit(self, df: DataFrame) -> Column:
+    def unit(self, df: DataFrame) -> Column:
+        """The number of the task that a row is dealt to."""
         within = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in self.key]), F.lit(self.splits)).cast("int")
         return range_number(self.cuts, df) * self.splits + within
 
@@ -60,7 +61,7 @@ class RangedCheckpoint:
         """Read what is missing from ``df``, by one scan, and commit it range by range; the number of rows."""
         missing = self.missing
         part = in_ranges(df, self.cuts, [unit // self.splits for unit in missing]) if self.cuts else df
-        dealt = part.withColumn(_UNIT, self._unit(df))
+        dealt = part.withColumn(_UNIT, self.unit(df))
         if self.done:
             dealt = dealt.where(F.col(_UNIT).isin(missing))
         by_range = dealt.repartitionById(self.units, F.col(_UNIT)).drop(_UNIT)
@@ -72,6 +73,31 @@ class RangedCheckpoint:
         return self.spark.read.schema(df.schema).parquet(*new).count() if new else 0
 
 
+def write_cuts(
+    df: DataFrame,
+    path: str,
+    key: Sequence[str],
+    cuts: Sequence[Mapping[str, Any]],
+    splits: int,
+    after: Mapping[str, Any] | None = None,
+) -> None:
+    """Keep the cuts of a dataset inside it, hidden from readers of the data, with the types of ``df``."""
+    fields = [T.StructField(name, df.schema[name].dataType) for name in dict.fromkeys([*key, *(after or {})])]
+    schema = T.StructType([T.StructField("__place", T.IntegerType()), T.StructField("__splits", T.IntegerType()), *fields])
+    # Place -1 is the dataset itself, -2 the mark it starts after.
+    rows: list[tuple] = [(-1, splits, *[None] * len(fields))]
+    if after:
+        rows.append((-2, splits, *[after.get(field.name) for field in fields]))
+    rows += [(place, splits, *[cut.get(field.name) for field in fields]) for place, cut in enumerate(cuts)]
+    df.sparkSession.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
+
+
+def part_number(path: str) -> int | None:
+    """The number of the task that wrote a file, from its name."""
+    match = _PART.match(name_of(path))
+    return int(match.group(1)) if match else None
+
+
 def is_ranged(spark: SparkSession, path: str) -> bool:
     return Storage(spark).exists(f"{path}/{MANIFEST}/_SUCCESS")
 
@@ -89,14 +115,7 @@ def start_ranged(
     """Write the cuts of a checkpoint that is about to be filled from ``df``; ranges are split up to the number of shuffle partitions."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     splits = splits or max(1, -(-partitions // (len(cuts) + 1)))
-    fields = [T.StructField(name, df.schema[name].dataType) for name in dict.fromkeys([*key, *(after or {})])]
-    schema = T.StructType([T.StructField("__place", T.IntegerType()), T.StructField("__splits", T.IntegerType()), *fields])
-    # Place -1 is the checkpoint itself, -2 the mark it starts after.
-    rows: list[tuple] = [(-1, splits, *[None] * len(fields))]
-    if after:
-        rows.append((-2, splits, *[after.get(field.name) for field in fields]))
-    rows += [(place, splits, *[cut.get(field.name) for field in fields]) for place, cut in enumerate(cuts)]
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
+    write_cuts(df, path, key, cuts, splits, after)
     return RangedCheckpoint(
         spark, path, tuple(dict(cut) for cut in cuts), dict(after) if after else None, splits, tuple(key), number, frozenset()
     )
@@ -109,7 +128,7 @@ def read_ranged(spark: SparkSession, path: str) -> RangedCheckpoint:
     cuts = [{n: row[n] for n in names if row[n] is not None} for row in rows if row["__place"] >= 0]
     marks = [{n: row[n] for n in names} for row in rows if row["__place"] == -2]
     key = tuple(cuts[0]) if cuts else tuple(names)
-    done = {int(match.group(1)) for file in Storage(spark).children(path) if (match := _PART.match(name_of(file.path)))}
+    done = {part_number(file.path) for file in Storage(spark).children(path)} - {None}
     tail = path.rpartition("_")[2]
     number = int(tail) if tail.isdigit() else 0
     return RangedCheckpoint(spark, path, tuple(cuts), marks[0] if marks else None, rows[0]["__splits"], key, number, frozenset(done))

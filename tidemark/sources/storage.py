@@ -74,6 +74,15 @@ class Storage:
         finally:
             stream.close()
 
+    def read_bytes(self, path: str) -> bytes:
+        """A small file, also one whose name hides it from readers of data."""
+        file_system, hadoop_path = self._resolve(path)
+        stream = file_system.open(hadoop_path)
+        try:
+            return bytes(self._spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+
     def read_text(self, path: str) -> str:
         """A small text file, such as a schema configuration."""
         return self._spark.read.text(path, wholetext=True).first()[0]

@@ -5,20 +5,28 @@ main once they weigh ``rewrite_ratio`` times as much as main and at least ``rewr
 the stream is drained.  So a row is rewritten a logarithmic number of times instead of once per
 arriving file.
 
+With keys, main is a set of files of one key range each, and the cuts between the ranges lie beside them: a later merge
+reads and rewrites only the ranges that a run has rows of.  Which files it adds and removes is written down first, so one
+that was interrupted is completed by the next; until then a reader may see both states of a range, which the keys
+tell apart.
+
 ``foreachBatch`` may repeat a batch.  That is harmless: a repeated batch overwrites its own run, and
 merging the same rows twice gives the same result, both by key and by whole row.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.dedup import sort_order
+from tidemark.operators.marks import equal_depth_cuts
 from tidemark.plans.merge import merge_frame
+from tidemark.plans.ranges import RangedCheckpoint, is_ranged, part_number, read_ranged, start_ranged
 from tidemark.schema import TableSchema
 from tidemark.sources.parquet import scan_parquet
 from tidemark.sources.publish import (
@@ -26,6 +34,7 @@ from tidemark.sources.publish import (
     DEFAULT_LEVEL,
     publish,
     recover,
+    staging_path,
     swap_in,
     write_metadata,
     write_parquet,
@@ -33,6 +42,8 @@ from tidemark.sources.publish import (
 from tidemark.sources.storage import Storage, name_of, parent_of
 
 POLL_INTERVAL = "2 seconds"
+# Ranges of main, at most; larger mains have several files a range.
+MOST_RANGES = 256
 
 
 @dataclass(frozen=True)
@@ -52,6 +63,7 @@ class Compaction:
     rewrite_ratio: float = 1.0
     rewrite_bytes: int = 1 << 30
     delete_merged: bool = False
+    file_bytes: int = 256 << 20
 
     @property
     def runs(self) -> str:
@@ -84,12 +96,15 @@ class Compaction:
         return [run.path for run in storage.children(self.runs) if storage.exists(f"{run.path}/_SUCCESS")]
 
     def fold(self) -> None:
-        """Merge all runs with main.  Main is always an input and is replaced by a staged swap.
+        """Merge all runs with main, which is always an input.
 
-        Main is sorted inside each file, like every run, however many runs were folded.  A single run without a main is already unique and is moved into place.
+        Main is sorted inside each file, like every run, however many runs were folded.  A single run without a main
+        is already unique and is moved into place.  Where main has key ranges that are not much larger than when they
+        were cut, only those that runs have rows of are rewritten; else main is, by a staged swap.
         """
         storage = Storage(self.spark)
         recover(storage, self.main)
+        self._complete_fold()
         runs = self.pending()
         if not runs:
             return
@@ -100,13 +115,76 @@ class Compaction:
             swap_in(storage, runs[0], self.main)
             return
         paths = ([self.main] if storage.exists(self.main) else []) + runs
-        merged = merge_frame(scan_parquet(self.spark, paths), self.keys, enforce_unique=True)
-        if self.keys:
-            merged = merged.sortWithinPartitions(*sort_order(self.keys))
-        publish(merged, self.main, self.codec, self.level, metadata)
+        if not self.keys:
+            merged = merge_frame(scan_parquet(self.spark, paths), enforce_unique=True)
+            publish(merged, self.main, self.codec, self.level, metadata)
+        elif self._ranges_fit(storage, runs):
+            self._fold_ranges(storage, runs)
+        else:
+            self._cut_anew(storage, paths, metadata)
         for run in runs:
             storage.delete(run)
 
+    def _ranges_fit(self, storage: Storage, runs: Sequence[str]) -> bool:
+        if not storage.exists(self.main) or not is_ranged(self.spark, self.main):
+            return False
+        held = storage.size(self.main) + sum(map(storage.size, runs))
+        return held <= 2 * self.file_bytes * read_ranged(self.spark, self.main).units
+
+    def _write_ranges(self, rows: DataFrame, ranged: RangedCheckpoint, path: str) -> None:
+        """Rows of each range, or part of one, in a file of their number, in order."""
+        dealt = rows.withColumn("__unit", ranged.unit(rows)).repartitionById(ranged.units, F.col("__unit")).drop("__unit")
+        write_parquet(dealt.sortWithinPartitions(*sort_order(self.keys)), path, self.codec, self.level, mode="append")
+
+    def _cut_anew(self, storage: Storage, paths: Sequence[str], metadata: dict | None) -> None:
+        """Rewrite all of main in ranges of equal depth."""
+        rows = scan_parquet(self.spark, paths)
+        files = max(1, -(-sum(map(storage.size, paths)) // self.file_bytes))
+        cuts = equal_depth_cuts(rows, self.keys, min(files, MOST_RANGES))
+        splits = -(-files // (len(cuts) + 1))
+        staged = staging_path(self.main)
+        try:
+            ranged = start_ranged(self.spark, staged, rows, self.keys, cuts, None, 0, splits)
+            self._write_ranges(merge_frame(rows, self.keys), ranged, staged)
+            if metadata:
+                write_metadata(self.spark, staged, metadata)
+            swap_in(storage, staged, self.main)
+        finally:
+            storage.delete(staged)
+
+    def _fold_ranges(self, storage: Storage, runs: Sequence[str]) -> None:
+        """Rewrite the ranges that the runs have rows of."""
+        ranged = read_ranged(self.spark, self.main)
+        arrived = scan_parquet(self.spark, runs)
+        units = {row[0] for row in arrived.select(ranged.unit(arrived)).distinct().collect()}
+        old = [file.path for file in storage.children(self.main) if part_number(file.path) in units]
+        merged = merge_frame(scan_parquet(self.spark, [*old, *runs]), self.keys)
+        staged = staging_path(self.main)
+        self._write_ranges(merged, ranged, staged)
+        # The first task writes an empty file where it has no rows.
+        new = [file.path for file in storage.children(staged) if part_number(file.path) in units]
+        storage.write_bytes(f"{self._journal}.new", json.dumps({"staged": staged, "add": new, "remove": old}).encode())
+        storage.rename(f"{self._journal}.new", self._journal)
+        self._complete_fold()
+
+    @property
+    def _journal(self) -> str:
+        return f"{parent_of(self.main)}/_fold_{name_of(self.main)}.json"
+
+    def _complete_fold(self) -> None:
+        """Do what is left of a fold that was written down; each step may have been done before."""
+        storage = Storage(self.spark)
+        if not storage.exists(self._journal):
+            return
+        steps = json.loads(storage.read_bytes(self._journal))
+        for path in steps["add"]:
+            if storage.exists(path):
+                storage.rename(path, f"{self.main}/{name_of(path)}")
+        for path in steps["remove"]:
+            storage.delete(path)
+        storage.delete(steps["staged"])
+        storage.delete(self._journal)
+
     def current(self) -> DataFrame:
         """Everything compacted so far, including runs that are not yet part of main."""
         storage = Storage(self.spark)
