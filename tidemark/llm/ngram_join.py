@@ -172,7 +172,7 @@ def _key_blobs(percent: int, buckets: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch in small(batches, 2_048, 16 << 20):
+        for batch in small(batches, 512, 4 << 20):
             sizes, nodes, sketches, least, keys, owners, seen = [], [], [], [], [], [], set()
             for doc_id, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1))):
                 hashes = shingle_set(text or b"")

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import blobs, small, written
 
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18  # words a task remembers, at most
 PLACE_SCHEMA = "length long, first_rank long, n long, first_sequence long, offset long"
 
 
@@ -57,9 +57,12 @@ class WordTokenizer:
         self.words: dict[bytes, bytes] = dict(self.added)
         self.pieces: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.words, self.pieces = dict(self.added), {}
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
-            self.words, self.pieces = dict(self.added), {}
+            self.forget()
         known, new = self.words, set()
         if self.added_places:  # a word of its own, also inside another
             texts = [self.added_places.sub(rb" \g<0> ", text) for text in texts]
@@ -103,7 +106,7 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str, added_tokens: bool) -> WordTokenizer:
-    """One per process: the words it has met stay known to later tasks."""
+    """One per process; a task forgets its words when it ends, so that they do not stay beside what comes after."""
     return WordTokenizer(path, added_tokens)
 
 
@@ -147,6 +150,7 @@ def cut_documents(
                     [pa.array(values, kind) for values, kind in zip(columns, kinds)],
                     ["id", "start", "length", "ids", "doc_tokens"],
                 )
+        _tokenizer(tokenizer_path, added_tokens).forget()
 
     found = source.mapInArrow(cut, "id long, start long, length long, ids binary, doc_tokens long")
     return found.withColumnRenamed("id", id_col)
