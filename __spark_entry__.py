@@ -94,7 +94,7 @@ def dedup_prefer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = columns_except(table(spark, sf_dir, "documents"), ["doc_id"])
-    return merge_frame(documents, enforce_unique=True)
+    return merge_frame(documents, enforce_unique=True, wide_rows=True)
 
 
 def distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,10 +406,34 @@ def compaction_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "compaction")
     texts = table(spark, sf_dir, "documents").select("text", "lang")
     write_parquet(texts, f"{base}/incoming")
-    compact(spark, f"{base}/incoming", f"{base}/main", f"{base}/progress", texts.schema)
+    compact(spark, f"{base}/incoming", f"{base}/main", f"{base}/progress", texts.schema, wide_rows=True)
     return spark.read.parquet(f"{base}/main")
 
 
+def compaction_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main in small key ranges, and a second delivery that touches the last of them only."""
+    base = scratch_path(spark, "compaction")
+    lines = table(spark, sf_dir, "lineitem")
+    last = lines.agg(F.max("l_orderkey")).first()[0]
+    is_late = F.col("l_orderkey") > last - last // 20
+    options = {"file_bytes": 1 << 18}
+    for delivery in (lines.filter(~is_late), lines.filter(is_late)):
+        write_parquet(delivery, f"{base}/incoming", max_records_per_file=ROWS_PER_CHECKPOINT, mode="append")
+        compact(spark, f"{base}/incoming", f"{base}/main", f"{base}/progress", lines.schema, LINE_KEY, **options)
+    return spark.read.parquet(f"{base}/main")
+
+
+def stream_distinct_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered twice, each passed on once, by a state that forgets what is older than a day."""
+    base = scratch_path(spark, "distinct")
+    events = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    timed = stream.withColumn("at", F.col("ts").cast("timestamp"))
+    twice = timed.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    found = append_distinct(spark, twice, ["event_id"], f"{base}/out", f"{base}/progress", "at", "1 day")
+    return found.select("event_id", "ts", "user_id", "event_type", "value")
+
+
 def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that a stateful stream passes on: each once."""
     base = scratch_path(spark, "distinct")
@@ -528,6 +552,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retype_report_decimal": retype_report_decimal,
         "url_host": url_hosts,
         "compaction_stream": compaction_stream,
+        "compaction_ranges": compaction_ranges,
+        "stream_distinct_bounded": stream_distinct_bounded,
         "compaction_stream_rows": compaction_stream_rows,
         "stream_distinct": stream_distinct,
     }
@@ -745,6 +771,8 @@ def core_oracle_sql() -> dict[str, str]:
         ),
         "url_host": f"SELECT page_id, NULLIF(regexp_extract(url, '{HOST_PATTERN}', 1), '') AS host FROM pages",
         "compaction_stream": by_line,
+        "compaction_ranges": by_line,
+        "stream_distinct_bounded": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "compaction_stream_rows": "SELECT DISTINCT text, lang FROM documents",
         "stream_distinct": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     }

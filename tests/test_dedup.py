@@ -177,3 +177,27 @@ def test_frequent_keys_are_reduced_before_the_exchange(spark):
     assert found.count() == 40_001 and found.first()["k"] == -1
     assert profile_keys(spark.range(1000).selectExpr("id k"), ["k"]).frequent == ()
     assert profile_keys(df.where("false"), ["k"]).frequent == ()
+
+
+def shown(df):
+    """Rows as text: NaN equals NaN there, and zeros of both signs are made equal."""
+    return sorted(repr(tuple(row)).replace("-0.0", "0.0") for row in df.collect())
+
+
+def test_distinct_of_wide_rows_equals_distinct(spark, monkeypatch):
+    long = [(k % 40, None if k % 7 == 0 else "x" * (k % 30), float("nan") if k % 5 == 0 else -0.0 if k % 2 else 0.0) for k in range(300)]
+    df = spark.createDataFrame(long, "k int, s string, v double")
+    for frame in (df, df.where("k = 99"), df.distinct(), df.withColumn("a", F.array(F.struct("s", "v")))):
+        assert shown(distinct_rows(frame, wide=True)) == shown(frame.distinct())
+    import tidemark.operators.dedup as dedup
+
+    monkeypatch.setattr(dedup, "BROADCAST_DIGESTS", 1)
+    assert shown(distinct_rows(df, wide=True)) == shown(df.distinct())
+
+
+def test_rows_without_an_equal_do_not_travel(spark):
+    df = spark.range(1_000).selectExpr("id", "repeat(string(id), 100) s")
+    plan = plan_of(distinct_rows(df.union(df.limit(3)), wide=True))
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert len(exchanges) == 1

@@ -1,3 +1,5 @@
+import datetime
+import os
 import random
 
 import pytest
@@ -8,7 +10,7 @@ from helpers import rows
 from tidemark.operators.dedup import dedup_by_key
 from tidemark.sources.storage import Storage
 from tidemark.streaming.compaction import Compaction
-from tidemark.streaming.distinct import append_distinct
+from tidemark.streaming.distinct import append_distinct, first_per_key
 
 DDL = "k int, v string"
 
@@ -185,3 +187,38 @@ def test_an_interrupted_fold_is_completed(spark, tmp_path, monkeypatch, done):
     expected = [(k, "a" if k in (1, 999) else v) for k, v in first]
     assert rows(spark.read.parquet(compaction.main)) == sorted(expected, key=repr)
     assert compaction.pending() == [] and not [p for p in tmp_path.iterdir() if p.name.startswith(("_fold", "_staging"))]
+
+
+def test_bounded_state_forgets_old_keys(spark, tmp_path):
+    """Hours apart, a horizon of two hours: copies within it are found, and the state stays at the keys of two hours."""
+    ddl = "k int, at timestamp"
+    start = datetime.datetime(2024, 1, 1)
+    for hour in range(8):
+        at = start + datetime.timedelta(hours=hour)
+        values = [(100 * hour + n, at) for n in range(50)] + [(100 * max(0, hour - 1) + n, at) for n in range(10)]
+        spark.createDataFrame(values, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    files = sorted((tmp_path / "in").glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    for number, file in enumerate(files):  # one batch a file, in order of time
+        os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))
+
+    def run(output, **options):
+        schema = spark.createDataFrame([], ddl).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = (
+            first_per_key(stream, ["k"], **options)
+            .writeStream.format("parquet")
+            .option("path", str(tmp_path / output))
+            .option("checkpointLocation", str(tmp_path / f"{output}_state"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return sorted(r["k"] for r in spark.read.parquet(str(tmp_path / output)).collect()), sizes
+
+    exact, growing = run("exact")
+    bounded, held = run("bounded", event_time="at", horizon="2 hours")
+    assert exact == bounded == sorted(100 * hour + n for hour in range(8) for n in range(50))
+    assert growing[-1] == 400 and max(held) < 300 and held[-1] < 250
+    with pytest.raises(ValueError, match="time of each row"):
+        first_per_key(spark.createDataFrame([], DDL), ["k"], horizon="1 hour")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.casts import strict_cast
+from tidemark.session import scratch_path
 
 _OWN_NUMBER = "__own_number"
 _KEY_HASH = "__key_hash"
@@ -17,6 +18,8 @@ _KEY_HASH = "__key_hash"
 TRACKED_KEYS = 8_192
 # A key counts as frequent from this share of an even partition on.
 FREQUENT_SHARE = 0.25
+# Digests of repeated rows that are broadcast, at most: 16 bytes each, and as much again for looking them up.
+BROADCAST_DIGESTS = 1 << 20
 
 
 def is_orderable(data_type: T.DataType) -> bool:
@@ -236,8 +239,32 @@ def dedup_by_keys(
     )
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.distinct()
+def distinct_rows(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Each distinct row once.
+
+    ``wide``: for rows with long texts or values.  Only a digest of 128 bits of each row is shuffled, to find the digests
+    that occur again; a row whose digest is alone has no equal and stays where it is, and rows of the others are
+    compared whole.  ``df`` is read twice more.  The digests are broadcast as long as they are at most
+    ``BROADCAST_DIGESTS``; beyond that most rows repeat, and all are shuffled as without ``wide``.
+    """
+    if not wide:
+        return df.distinct()
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    digest = {f"__digest{seed}": F.xxhash64(F.lit(seed), *columns) for seed in (1, 2)}
+    names = list(digest)
+    counted = df.select(*[column.alias(name) for name, column in digest.items()]).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(df.sparkSession, "digests")
+    counted.where("n > 1").drop("n").write.parquet(path)
+    repeated = df.sparkSession.read.schema("__digest1 long, __digest2 long").parquet(path)
+    found = repeated.count()
+    if found > BROADCAST_DIGESTS:
+        return df.distinct()
+    if not found:
+        return df
+    marked = df.withColumns(digest)
+    alone = marked.join(F.broadcast(repeated), names, "left_anti").drop(*names)
+    again = marked.join(F.broadcast(repeated), names, "left_semi").drop(*names)
+    return alone.unionByName(again.distinct())
 
 
 def bag_union(frames: Sequence[DataFrame], strict: bool = True) -> DataFrame:

@@ -23,17 +23,19 @@ def merge_frame(
     prefer: Sequence[str | Column] = (),
     many_per_key: bool = False,
     ordered: bool = False,
+    wide_rows: bool = False,
 ) -> DataFrame:
     """Keys given: one row per key (whatever ``enforce_unique`` says); else unique rows; else all.
 
     ``prefer`` and ``many_per_key`` are those of ``dedup_by_key``; ``ordered`` also puts a keyed result in the order of
-    its keys, without a second exchange.  The plan is the same at every size.
+    its keys, without a second exchange.  ``wide_rows`` finds unique rows by digests (``distinct_rows``).  The plan is
+    the same at every size.
     """
     if keys:
         unique = dedup_sorted if ordered else dedup_by_key
         merged = unique(df, keys, prefer, many_per_key=many_per_key)
     elif enforce_unique:
-        merged = distinct_rows(df)
+        merged = distinct_rows(df, wide_rows)
     else:
         merged = df
     return apply_schema(merged, schema) if schema is not None else merged
@@ -68,6 +70,7 @@ def merge_parquet(
     uniform: bool = False,
     prefer: Sequence[str | Column] = (),
     many_per_key: bool = False,
+    wide_rows: bool = False,
 ) -> None:
     """Merge the inputs and publish the result at ``target``, which may be one of the inputs.
 
@@ -81,7 +84,7 @@ def merge_parquet(
     paths = merge_inputs(spark, inputs, target)
     storage = Storage(spark)
     merged = merge_frame(
-        scan_parquet(spark, paths, uniform), keys, enforce_unique, schema, prefer, many_per_key, order == "global"
+        scan_parquet(spark, paths, uniform), keys, enforce_unique, schema, prefer, many_per_key, order == "global", wide_rows
     )
     if keys and order == "files":
         merged = merged.sortWithinPartitions(*sort_order(keys))

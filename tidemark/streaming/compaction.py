@@ -64,6 +64,7 @@ class Compaction:
     rewrite_bytes: int = 1 << 30
     delete_merged: bool = False
     file_bytes: int = 256 << 20
+    wide_rows: bool = False
 
     @property
     def runs(self) -> str:
@@ -81,7 +82,7 @@ class Compaction:
     def _write_run(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        unique = merge_frame(batch, self.keys, enforce_unique=True, schema=self.schema)
+        unique = merge_frame(batch, self.keys, enforce_unique=True, schema=self.schema, wide_rows=self.wide_rows)
         if self.keys:
             unique = unique.sortWithinPartitions(*sort_order(self.keys))
         write_parquet(unique, f"{self.runs}/run_{batch_id:09}", self.codec, self.level, mode="overwrite")
@@ -116,7 +117,7 @@ class Compaction:
             return
         paths = ([self.main] if storage.exists(self.main) else []) + runs
         if not self.keys:
-            merged = merge_frame(scan_parquet(self.spark, paths), enforce_unique=True)
+            merged = merge_frame(scan_parquet(self.spark, paths), enforce_unique=True, wide_rows=self.wide_rows)
             publish(merged, self.main, self.codec, self.level, metadata)
         elif self._ranges_fit(storage, runs):
             self._fold_ranges(storage, runs)
