@@ -26,7 +26,7 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # A user of the library passes a secret of their own; this one makes results repeatable.
 SURROGATE_KEY = "tidemark"
 # So short that a good part of ordinary pages is cut into continuation records and put together again.
-SEGMENT_BYTES = 2_048
+SEGMENT_BYTES = 4_096
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
