@@ -11,10 +11,10 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import postings, registry
+from tidemark.llm import ngram_join, postings, registry
 from tidemark.llm.components import connected_components
 from tidemark.llm.context_tree import byte_grams, score_texts
-from tidemark.llm.ngram_join import Bands, least_difference, near_duplicates, set_keys, sketch
+from tidemark.llm.ngram_join import Bands, least_difference, near_duplicates, near_links, set_keys, sketch
 from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.surrogates import PATTERN, replace_personal_data, surrogate_table
 from tidemark.llm.warc import archive_pages, dechunk, parse_records, reassemble
@@ -68,6 +68,26 @@ def test_near_duplicates_equal_all_pairs(spark, seed):
     assert {row.doc_id: row.n_shingles for row in found} == {k: len(s) for k, s in sets.items()}
 
 
+@pytest.mark.parametrize("block", [256, 2])
+def test_links_between_different_sets_equal_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    rows = near_copies(n_groups=8, seed=8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {doc_id: shingles(text) for doc_id, text in rows}
+    classes = {}
+    for doc_id in sorted(sets):
+        classes.setdefault(sets[doc_id], doc_id)
+    links = {
+        (x, y): len(a & b)
+        for a, x in classes.items()
+        for b, y in classes.items()
+        if x < y and a & b and 100 * len(a & b) >= 75 * len(a | b)
+    }
+    found = near_duplicates(docs, count_links=True).collect()
+    assert {r.doc_id: r.n_links for r in found} == {k: sum(classes[s] in link for link in links) for k, s in sets.items()}
+    assert {(r.left_id, r.right_id): r.shared for r in near_links(docs).collect()} == links and len(links) > 5
+
+
 def test_near_duplicates_of_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 300")
     rows = [(row.doc_id, row.text) for row in docs.collect()]

@@ -31,6 +31,7 @@ SHINGLE_WORDS = 5
 CACHED_WORDS = 1 << 17  # words met before, at most so many and none longer than CACHED_BYTES
 CACHED_BYTES = 64
 GROUP_PART = 1_024  # members of a group that one row or task takes
+LINK_BLOCK = 256  # sets of a component that are compared with as many others at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -446,11 +447,14 @@ def _rarest_keys(keys: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", count_links: bool = False
+) -> DataFrame:
     """Components of documents whose sets of word shingles have a Jaccard similarity of ``percent`` or more.
 
     Returns for each row ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own
-    included) and ``class_id`` (the smallest id with the very same set).  A NULL text or one without
+    included) and ``class_id`` (the smallest id with the very same set); with ``count_links`` also ``n_links``, the
+    number of other classes that link with its own, of all links there are.  A NULL text or one without
     words has an empty set and no link, its component is itself.  A NULL id takes no part: its component
     is NULL.  Repeated rows give repeated results; an empty table gives an empty one; other columns are not
     looked at.  Sets are told apart by 64-bit digests, links are decided on the texts.
@@ -510,17 +514,126 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     classes = placed.where(known).groupBy("node").agg(F.min("id").alias("class_id"), F.first("component").alias("component"))
     named = classes.join(lowest, "component").select("node", "class_id", "component_id")
     own = F.when(known, F.col("component_id")).otherwise(F.col("id"))
-    return sets.join(named, "node", "left").select(
+    columns = [
         F.col("id").alias(id_col),
         F.col("n_shingles").cast("long").alias("n_shingles"),
         own.alias("component_id"),
         F.when(known, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
+    ]
+    if count_links:
+        components = written(components.select("node", "component"), "components")
+        texts = _texts_of(source, nodes, components.select("node"))
+        counted = links_of_components(components, texts, percent).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+        named = named.join(counted, "node", "left")
+        columns.append(F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"))
+    return sets.join(named, "node", "left").select(*columns)
+
+
+def near_links(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every link between different sets, once, by their classes: ``left_id`` < ``right_id`` (smallest ids) and ``shared`` shingles.
+
+    With ``class_id`` of ``near_duplicates`` as membership these are all links of ``docs``: copies are not expanded.
+    """
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    found = written(near_duplicates(docs, percent, id_col, text_col), "near")
+    classes = found.where(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)).select(F.col("class_id").alias("node"), F.col("component_id").alias("component")).distinct()
+    several = classes.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(classes.join(several.select("component"), "component", "left_semi"), "members")
+    # Of an id that repeats with other texts the row that is its class's is not told apart: ids have to be unique.
+    texts = source.join(members.select(F.col("node").alias("id")), "id", "left_semi").select(F.col("id").alias("node"), "text")
+    return links_of_components(members, texts, percent, as_pairs=True).select(
+        F.col("a").alias("left_id"), F.col("b").alias("right_id"), F.col("n").alias("shared")
+    )
+
+
+def _shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of each set on the left with each on the right.
+
+    Only hashes that both sides have count.  They are the columns of two matrices of zeros and ones, multiplied some
+    columns at a time.
+    """
+    found = np.zeros((len(left), len(right)), np.int64)
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    for start in range(0, len(both), 4_096):
+        columns = both[start : start + 4_096]
+        sides = []
+        for sets in (left, right):
+            matrix = np.zeros((len(sets), len(columns)), np.float32)
+            for row, hashes in enumerate(sets):
+                low, high = np.searchsorted(hashes, columns[0]), np.searchsorted(hashes, columns[-1], "right")
+                places = np.searchsorted(columns, hashes[low:high])
+                here = columns[np.minimum(places, len(columns) - 1)] == hashes[low:high]
+                matrix[row, places[here]] = 1
+            sides.append(matrix)
+        found += (sides[0] @ sides[1].T).astype(np.int64)  # counts up to 4,096 are exact in 32 bits
+    return found
+
+
+def _links_in_blocks(percent: int, as_pairs: bool):
+    """Rows sorted by (component, left, right) in; the links of each block out, as pairs or counted by set."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, ([], [])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            same = current is not None and current[1] == current[2]
+            left, right = held[0], held[0] if same else held[1]
+            if not left or not right:
+                return
+            shared = _shared_shingles([h for _, h in left], [h for _, h in right])
+            sizes = [np.array([len(h) for _, h in side], np.int64) for side in (left, right)]
+            linked = 100 * shared >= percent * (sizes[0][:, None] + sizes[1][None, :] - shared)
+            if same:
+                np.fill_diagonal(linked, False)
+            nodes = [np.array([node for node, _ in side], np.int64) for side in (left, right)]
+            if as_pairs:
+                rows, columns = np.nonzero(np.triu(linked) if same else linked)
+                ends = np.sort(np.stack([nodes[0][rows], nodes[1][columns]], 1), axis=1)
+                arrays = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(shared[rows, columns])]
+            else:
+                counted = [(nodes[0], linked.sum(axis=1))] + ([] if same else [(nodes[1], linked.sum(axis=0))])
+                node, count = (np.concatenate(c) for c in zip(*counted))
+                arrays = [pa.array(node), pa.nulls(len(node), pa.int64()), pa.array(count.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n"])
+
+        for batch in small(batches):
+            rows = zip(*(batch.column(k).to_pylist() for k in range(5)), blobs(batch.column(5)))
+            for component, left, right, is_left, node, text in rows:
+                if (component, left, right) != current:
+                    yield from flush()
+                    current, held = (component, left, right), ([], [])
+                held[0 if is_left else 1].append((node, shingle_set(text or b"")))
+        yield from flush()
+
+    return link
+
+
+def links_of_components(components: DataFrame, texts: DataFrame, percent: int, as_pairs: bool = False) -> DataFrame:
+    """All links between sets of one component (node, component): ``a``, ``b`` and ``n`` shared shingles; or ``a`` and its number ``n``.
+
+    Every link lies inside a component.  The members of a component are dealt by hash to blocks of about
+    ``LINK_BLOCK``; a task compares two blocks, or one with itself, and emits counts, so neither a large component nor
+    its pairs are in one place.  The text of a set travels once for each block that its own is compared with.
+    """
+    blocks = components.groupBy("component").agg(F.ceil(F.count("*") / LINK_BLOCK).cast("int").alias("blocks"))
+    dealt = components.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    left = dealt.select("component", F.col("block").alias("left"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("right"), F.lit(True).alias("is_left"), "node")
+    right = dealt.select("component", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("left"), F.col("block").alias("right"), F.lit(False).alias("is_left"), "node")
+    sides = left.union(right.where("left < right")).join(texts, "node")
+    return (
+        sides.select("component", "left", "right", "is_left", "node", "text")
+        .repartition("component", "left", "right")
+        .sortWithinPartitions("component", "left", "right")
+        .mapInArrow(_links_in_blocks(percent, as_pairs), "a long, b long, n long")
     )
 
 
 def _texts(source: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """``node`` and ``text`` of every set in ``pairs``, written once."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return _texts_of(source, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+
+
+def _texts_of(source: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = source.join(nodes.join(wanted, "node", "left_semi").select("id", "node"), "id")
     # An id that repeats with other texts sends them all; one with the node's set is kept.
     return written(

@@ -31,7 +31,7 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=75)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=75, count_links=True)
 
 
 def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
