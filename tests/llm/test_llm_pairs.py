@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,12 +13,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import ngram_join, postings, registry
+from tidemark.llm.common import scratch_scope, written
 from tidemark.llm.components import connected_components
 from tidemark.llm.context_tree import byte_grams, score_texts
 from tidemark.llm.ngram_join import Bands, least_difference, near_duplicates, near_links, set_keys, sketch
 from tidemark.llm.postings import nearest_neighbours
 from tidemark.llm.surrogates import PATTERN, replace_personal_data, surrogate_table
 from tidemark.llm.warc import archive_pages, dechunk, parse_records, reassemble
+from tidemark.session import shared_dir
 
 SF_DIR = "/root/testdata/sf0.01"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -360,6 +363,19 @@ def test_long_runs_of_names_titles_and_labels_do_not_overflow_the_stack(spark):
     assert found[5].text.startswith("Mr. ") and "Don" not in found[5].text
 
 
+def test_a_scope_deletes_what_operators_write(spark, tmp_path):
+    folder = Path(shared_dir(spark)) / "tidemark"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    docs = spark.createDataFrame(PRIVATE, "doc_id long, text string")
+    with scratch_scope(spark):
+        kept = written(replace_personal_data(docs, "secret"), "kept", str(tmp_path / "kept"))
+        assert set(folder.iterdir()) - before
+        with pytest.raises(KeyboardInterrupt), scratch_scope(spark):
+            written(docs, "inner")
+            raise KeyboardInterrupt
+    assert set(folder.iterdir()) == before and kept.count() == len(PRIVATE)
+
+
 def test_surrogates_of_an_empty_table_and_native_plan(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert replace_personal_data(docs, "k").collect() == []

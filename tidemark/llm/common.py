@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_path
+from tidemark.sources.storage import Storage
 
 # The ASCII white space that separates words, and the ASCII capitals that are lowered.
 ASCII_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -19,10 +22,43 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lost executors cannot change it."""
-    spark = df.sparkSession
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators write in this scope are deleted at its end, whether it ends well or not.
+
+    Results are read from such tables, so whatever is to stay has to be written, or counted, inside the scope.  Scopes
+    nest; without one the tables stay in the shared folder.
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        storage = Storage(spark)
+        for path in paths:
+            storage.delete(path)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder, deleted with the scope."""
     path = scratch_path(spark, label)
+    held = _SCOPE.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: lost executors cannot change it.
+
+    With a ``path`` of the caller's the table is the caller's, and no scope deletes it.
+    """
+    spark = df.sparkSession
+    path = path or scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

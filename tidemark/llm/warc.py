@@ -16,8 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import written
-from tidemark.session import scratch_path
+from tidemark.llm.common import scratch, written
 
 # Fixed values of the formats.
 LINE_END = "\r\n"
@@ -290,7 +289,7 @@ def archive_pages(pages: DataFrame, smallest_revisit: int = 0, segment_bytes: in
     columns are not looked at.
     """
     spark = pages.sparkSession
-    path = scratch_path(spark, "warc")
+    path = scratch(spark, "warc")
     write_archives(warc_records(pages, smallest_revisit, segment_bytes), path)
     read = written(
         read_archives(spark, path).select(
