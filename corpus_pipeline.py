@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import read_table, written
+from tidemark.llm.common import read_table, scratch_scope, written
 from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import keep_good
 from tidemark.llm.recipes import keep_distinct_texts
 from tidemark.llm.registry import SURROGATE_KEY, WORD_TOKENIZER
 from tidemark.llm.surrogates import replace_personal_data
+from tidemark.session import scratch_path
+from tidemark.sources.storage import Storage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows.
+
+    What a stage writes for itself, and what the one before it wrote, goes when its result is written: of personal data
+    and its surrogates nothing is left in the shared folder.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            Storage(spark).delete(before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
