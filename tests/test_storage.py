@@ -7,6 +7,7 @@ from tidemark.plans.attempts import attempt, attempt_catalog
 from tidemark.plans.merge import merge_frame, merge_inputs, merge_parquet
 from tidemark.schema import parse_configured_schema
 from tidemark.session import scratch_path, shared_dir, shuffle_partitions_for
+from tidemark.sources import publish as publishing
 from tidemark.sources.parquet import find_inputs, scan_parquet
 from tidemark.sources.publish import (
     OnConflict,
@@ -201,3 +202,22 @@ def test_attempts_are_bounded():
         return "done"
 
     assert attempt_catalog(flaky, 0) == "done"
+
+
+def test_a_second_writer_is_found(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "target")
+    publish(spark.createDataFrame([(1, "x")], "k int, v string"), target)
+    slow = spark.createDataFrame([(2, "mine")], "k int, v string")
+    write, calls = publishing.write_parquet, []
+
+    def write_while_another_publishes(df, path, *args, **options):
+        write(df, path, *args, **options)
+        calls.append(path)
+        if len(calls) == 1:
+            publish(spark.createDataFrame([(3, "other")], "k int, v string"), target)
+
+    monkeypatch.setattr(publishing, "write_parquet", write_while_another_publishes)
+    with pytest.raises(ConflictError, match="another writer"):
+        publish(slow, target)
+    assert rows(spark.read.parquet(target)) == [(3, "other")]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["target"]

@@ -2,7 +2,11 @@
 
 A dataset is written to a hidden sibling and renamed into place.  Spark cannot overwrite a dataset
 it is reading; with staging the target may be one of the inputs.  The rename is atomic on HDFS-like
-file systems; on object stores it is a copy, so readers should wait for the job there.
+file systems; on object stores it is a copy, so readers should wait for the job there.  Between the two renames
+of a swap there is no target: a reader that lists it just then finds nothing, and the next run completes the swap.
+
+There are no locks.  A writer that finds the target other than it was when it began, because another one has
+published meanwhile, raises and leaves the other's dataset in place.
 """
 
 from __future__ import annotations
@@ -88,9 +92,18 @@ def recover(storage: Storage, target: str) -> None:
             storage.rename(previous, target)
 
 
-def swap_in(storage: Storage, staged: str, target: str) -> None:
-    """Make the staged dataset the target; the old target is kept until the new one is in place."""
+class _Anything:
+    """Stands for any state of a target."""
+
+
+def swap_in(storage: Storage, staged: str, target: str, expected: object = _Anything) -> None:
+    """Make the staged dataset the target; the old target is kept until the new one is in place.
+
+    ``expected``: the target's ``Storage.state`` when the work on the staged dataset began.
+    """
     recover(storage, target)
+    if expected is not _Anything and storage.state(target) != expected:
+        raise ConflictError(f"{target} was changed by another writer meanwhile and is left as it is")
     previous = _previous_path(target)
     replacing = storage.exists(target)
     if replacing:
@@ -113,15 +126,20 @@ def publish(
     metadata: Mapping[str, Any] | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write ``df`` beside ``target`` and swap it in; ``df`` may read from ``target``."""
+    """Write ``df`` beside ``target`` and swap it in; ``df`` may read from ``target``.
+
+    Raises ``ConflictError`` if another writer changed the target meanwhile.
+    """
     spark = df.sparkSession
     storage = Storage(spark)
+    recover(storage, target)
+    before = storage.state(target)
     staged = staging_path(target)
     try:
         write_parquet(df, staged, codec, level, max_records_per_file)
         if metadata:
             write_metadata(spark, staged, metadata)
-        swap_in(storage, staged, target)
+        swap_in(storage, staged, target, before)
     finally:
         storage.delete(staged)
 

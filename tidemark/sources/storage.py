@@ -46,6 +46,14 @@ class Storage:
         file_system, hadoop_path = self._resolve(path)
         return _visible(file_system.listStatus(hadoop_path)) if file_system.exists(hadoop_path) else []
 
+    def state(self, path: str) -> tuple[tuple[str, int, int], ...] | None:
+        """Names, lengths and times of what lies directly in a dataset; None if there is none."""
+        file_system, hadoop_path = self._resolve(path)
+        if not file_system.exists(hadoop_path):
+            return None
+        listed = file_system.listStatus(hadoop_path)
+        return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in listed))
+
     def size(self, path: str) -> int:
         file_system, hadoop_path = self._resolve(path)
         return file_system.getContentSummary(hadoop_path).getLength()
