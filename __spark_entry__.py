@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,13 +26,21 @@ from tidemark.operators.grid import (
 )
 from tidemark.operators.marks import equal_depth_cuts, high_water_mark, range_number, read_mark, scan_after
 from tidemark.operators.retype import retype_columns, retype_report
-from tidemark.operators.statistics import PERCENTILES, daily_means, day_statistics, rolling_means
+from tidemark.operators.statistics import (
+    PERCENTILES,
+    daily_means,
+    day_statistics,
+    merge_states,
+    rolling_means,
+    statistics_of_state,
+    statistics_state,
+)
 from tidemark.plans.extract import FETCHES_PER_CHECKPOINT, TableKeys, dump_table, unique_by_table_keys
 from tidemark.plans.merge import merge_frame, merge_parquet
 from tidemark.plans.to_grid import convert_to_grid, open_grid
-from tidemark.schema import columns_except, parse_configured_schema
+from tidemark.schema import TableSchema, attach_field_metadata, columns_except, parse_configured_schema
 from tidemark.session import scratch_path
-from tidemark.sources.publish import OnConflict, write_parquet
+from tidemark.sources.publish import OnConflict, publish, write_parquet
 from tidemark.sources.storage import Storage
 from tidemark.sources.tables import DEFAULT_FETCH_ROWS, FrameSource
 from tidemark.streaming.compaction import compact
@@ -464,6 +473,46 @@ def stats_rolling7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(day_statistics(rolling_means(days, "user_id", "ts", "value"), "user_id", "ts", "value"))
 
 
+def stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state of all but the last deliveries is kept, and each later one is merged into it without the rows before."""
+    events = table(spark, sf_dir, "events")
+    state = None
+    for part in range(3):
+        delivery = events.filter(F.pmod(F.col("event_id"), F.lit(3)) == part)
+        new = statistics_state(delivery, "user_id", "ts", "value")
+        merged = new if state is None else merge_states(state.unionByName(new), "user_id")
+        path = scratch_path(spark, "statistics")
+        merged.write.parquet(path)
+        state = spark.read.parquet(path)
+    return _rounded(statistics_of_state(state, "user_id"))
+
+
+def _published_statistics_schema() -> TableSchema:
+    """The documented columns of the statistics tables, in order, with their types and metadata."""
+    shares = {name: f"{round(100 * share)} % of the values are at or below" for name, share in PERCENTILES.items()}
+    measured = {"max": "Largest value", "mean": "Mean", "min": "Smallest value", **shares, "std": "Standard deviation"}
+    fields = [
+        {"name": "location_id", "datatype": "int64", "metadata": {"long_name": "Location"}},
+        {"name": "month_nu", "datatype": "uint8", "metadata": {"long_name": "Month"}},
+        {"name": "day_nu", "datatype": "uint8", "metadata": {"long_name": "Day"}},
+        {"name": "count_nu", "datatype": "uint16", "metadata": {"long_name": "Sample size", "units": "1"}},
+        {"name": "earliest", "datatype": "datetime", "metadata": {"long_name": "Time of the first value"}},
+        {"name": "latest", "datatype": "datetime", "metadata": {"long_name": "Time of the last value"}},
+        *({"name": name, "datatype": "float32", "metadata": {"long_name": text}} for name, text in measured.items()),
+    ]
+    table_metadata = {"title": "Statistics by location and day of the year", "frequency": "P0D", "aggregation": "identity"}
+    return parse_configured_schema(json.dumps({"fields": fields, "metadata": table_metadata}))
+
+
+def stats_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics in their documented types, published with the metadata of table and columns."""
+    schema = _published_statistics_schema()
+    found = day_statistics(table(spark, sf_dir, "events"), "user_id", "ts", "value").withColumnRenamed("user_id", "location_id")
+    target = f"{scratch_path(spark, 'published')}/statistics"
+    publish(attach_field_metadata(apply_schema(found, schema), {f.name: f.metadata for f in schema.fields}), target, metadata=schema.metadata)
+    return spark.read.parquet(target)
+
+
 def dedup_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose priority key is NULL never conflict; of the others one per customer and priority stays."""
     orders = table(spark, sf_dir, "orders").withColumn(
@@ -548,6 +597,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stats_hourly": stats_hourly,
         "stats_daily_mean": stats_daily_mean,
         "stats_rolling7": stats_rolling7,
+        "stats_incremental": stats_incremental,
+        "stats_published": stats_published,
         "dedup_nullable_key": dedup_nullable_key,
         "retype_report_decimal": retype_report_decimal,
         "url_host": url_hosts,
@@ -584,14 +635,18 @@ def _packed_sql(value: str, scale: str) -> str:
     return f"COALESCE(CAST(round_even(CAST(CAST({value} AS FLOAT) AS DOUBLE) / {scale}, 0) AS INTEGER), -999)"
 
 
-def _statistics_sql(source: str) -> str:
+def _statistics_sql(source: str, digits: int | None = 6) -> str:
     """Statistics of ``source`` (user_id, ts, value), rounded as the query does."""
-    quantiles = ", ".join(f"round(quantile_cont(value, {share}), 6) AS {name}" for name, share in PERCENTILES.items())
+
+    def shown(expression: str) -> str:
+        return expression if digits is None else f"round({expression}, {digits})"
+
+    quantiles = ", ".join(f"{shown(f'quantile_cont(value, {share})')} AS {name}" for name, share in PERCENTILES.items())
     return (
         "SELECT user_id, CAST(month(ts) AS INTEGER) AS month_nu, CAST(day(ts) AS INTEGER) AS day_nu,"
-        " count(value) AS count_nu, min(ts) AS earliest, max(ts) AS latest, round(max(value), 6) AS max,"
-        f" round(avg(value), 6) AS mean, round(min(value), 6) AS min, {quantiles},"
-        f" round(stddev_samp(value), 6) AS std FROM ({source}) GROUP BY user_id, month(ts), day(ts)"
+        f" count(value) AS count_nu, min(ts) AS earliest, max(ts) AS latest, {shown('max(value)')} AS max,"
+        f" {shown('avg(value)')} AS mean, {shown('min(value)')} AS min, {quantiles},"
+        f" {shown('stddev_samp(value)')} AS std FROM ({source}) GROUP BY user_id, month(ts), day(ts)"
     )
 
 
@@ -755,6 +810,13 @@ def core_oracle_sql() -> dict[str, str]:
             + f" NULLIF({_packed_sql('p', '0.1')}, -999) * CAST(0.1 AS DOUBLE) AS l_extendedprice FROM grid"
         ),
         "stats_hourly": _statistics_sql("SELECT user_id, ts, value FROM events"),
+        "stats_incremental": _statistics_sql("SELECT user_id, ts, value FROM events"),
+        "stats_published": (
+            "SELECT user_id AS location_id, CAST(month_nu AS SMALLINT) AS month_nu, CAST(day_nu AS SMALLINT) AS day_nu,"
+            " CAST(count_nu AS INTEGER) AS count_nu, earliest, latest, "
+            + ", ".join(f"CAST({name} AS FLOAT) AS {name}" for name in ("max", "mean", "min", *PERCENTILES, "std"))
+            + f" FROM ({_statistics_sql('SELECT user_id, ts, value FROM events', digits=None)})"
+        ),
         "stats_daily_mean": _statistics_sql(DAILY_MEANS_SQL),
         "stats_rolling7": _statistics_sql(ROLLING_MEANS_SQL),
         "dedup_nullable_key": (
