@@ -81,6 +81,7 @@ def test_large_axis_is_not_broadcast(table, monkeypatch, spark):
     expected = rows(dense_cells(chunks, axes, ["v"]))
     monkeypatch.setattr(coordinates, "BROADCAST_VALUES", 2)
     monkeypatch.setattr(grid, "MARKERS_PER_TASK", 1)
+    monkeypatch.setattr(grid, "CHUNKS_PER_STRETCH", 2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert not axes[0].may_be_broadcast

@@ -61,6 +61,10 @@ def _mean(df: DataFrame, name: str) -> Column:
     return F.avg(column).alias(name)
 
 
+# Chunks that share one copy of their stretch of a long axis: at the largest chunk a few hundred megabytes of cells.
+CHUNKS_PER_STRETCH = 4_096
+
+
 def pivot_mean(df: DataFrame, dimensions: Sequence[str], variables: Sequence[str] | None = None) -> DataFrame:
     """One row per occupied cell with the mean of each variable; NULL and NaN do not count.
 
@@ -199,7 +203,8 @@ def dense_cells(
     """The full grid in long form: one row per coordinate pair, NULL variables where absent.
 
     Coordinates are joined per chunk, not per cell: one row for a chunk's row value and one array
-    for its stretch of the last axis.
+    for its stretch of the last axis.  Few stretches serve many chunks: of an axis too large to broadcast each is
+    repeated for every ``CHUNKS_PER_STRETCH`` chunks, which are joined by stretch and a part of the rows.
     """
     last = coordinates[-1]
     axis = (
@@ -207,7 +212,13 @@ def dense_cells(
         .agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("axis"))
         .select(BLOCK, F.col("axis.value").alias("axis"))
     )
-    joined = join_axis(chunks, axis, BLOCK, last)
+    if last.may_be_broadcast:
+        joined = join_axis(chunks, axis, BLOCK, last)
+    else:
+        rows = coordinates[0].size if len(coordinates) == 2 else 1
+        parts = -(-rows // CHUNKS_PER_STRETCH)
+        repeated = axis.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
+        joined = chunks.withColumn("__part", F.pmod(F.col(ROW), F.lit(parts).cast("long"))).join(repeated, [BLOCK, "__part"])
     names = []
     if len(coordinates) == 2:
         first = coordinates[0]
