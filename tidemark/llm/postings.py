@@ -27,6 +27,7 @@ BEAM = 32
 CALIBRATION_QUERIES = 256  # queries whose true neighbours tell how many lists to open
 LEAST_BUCKETS = 32  # groups of lists that are compared together, and their rows where that makes more of them
 BUCKET_ROWS = 65_536
+RATIO_STEP, LARGEST_RATIO = 1e-6, 1e6
 ROUNDING = 1e-9  # of a squared distance from a matrix product, far above its rounding
 
 
@@ -133,6 +134,43 @@ class CentroidGraph:
         return np.take_along_axis(ids, order, 1), np.take_along_axis(found, order, 1)
 
 
+    def within(self, vectors: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centroids within ``ratio`` of the nearest one's distance: rows of ``vectors``, centroids, squared distances.
+
+        From the nearest centroid found, neighbours in the graph are followed as long as they are within the limit;
+        each distance is computed once.
+        """
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for start in range(0, len(vectors), 64):
+            part = vectors[start : start + 64]
+            norms = np.square(part).sum(1)
+            nearest, least = self.search(part, 1)
+            limit = least[:, 0] * ratio * ratio
+            seen = np.zeros((len(part), len(self.centroids)), bool)
+            rows, ids = np.arange(len(part)), nearest[:, 0]
+            seen[rows, ids] = True
+            distance = least[:, 0]
+            while len(rows):
+                found.append((rows + start, ids, distance))
+                rows = np.repeat(rows, self.links.shape[1])
+                ids = self.links[ids].ravel()
+                new = ~seen[rows, ids]
+                pairs = np.unique(rows[new].astype(np.int64) * len(self.centroids) + ids[new])
+                rows, ids = pairs // len(self.centroids), pairs % len(self.centroids)
+                seen[rows, ids] = True
+                dots = np.einsum("rd,rd->r", part[rows], self.centroids[ids])
+                distance = np.maximum(0, norms[rows] + self._norms[ids] - 2 * dots)
+                near = distance <= limit[rows]
+                rows, ids, distance = rows[near], ids[near], distance[near]
+        rows, ids, distance = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((ids, distance, rows))
+        return rows[order], ids[order], distance[order]
+
+    @property
+    def _norms(self) -> np.ndarray:
+        return np.square(self.centroids).sum(1)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
@@ -170,8 +208,11 @@ def _assign(graph: CentroidGraph, replicas: int, widen: float, spread: float):
     return assign
 
 
-def _by_nearness(centroids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    return np.argsort(_squared(vectors, centroids), axis=1, kind="stable")
+def _ratios(centroids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Of each vector how many times as far each centroid is as its nearest one, in units of ``RATIO_STEP``, rounded up."""
+    distances = np.sqrt(_squared(vectors, centroids))
+    nearest = np.maximum(distances.min(axis=1, keepdims=True), 1e-300)
+    return np.ceil(np.minimum(distances / nearest, LARGEST_RATIO) / RATIO_STEP).astype(np.int64)
 
 
 def _first_distinct(distance: np.ndarray, ids: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
@@ -183,7 +224,7 @@ def _first_distinct(distance: np.ndarray, ids: np.ndarray, places: np.ndarray, k
 
 
 def _exact_places(asked_ids: np.ndarray, asked: np.ndarray, places: np.ndarray, k: int):
-    """The ``k`` nearest of all rows of a task for each asked vector, and how early their list is opened."""
+    """The ``k`` nearest of all rows of a task for each asked vector, and the ratio that opens their list."""
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in asked]
@@ -203,33 +244,53 @@ def _exact_places(asked_ids: np.ndarray, asked: np.ndarray, places: np.ndarray,
         rows = np.repeat(np.arange(len(asked)), [len(b[0]) for b in best])
         score, ids, place = map(np.concatenate, zip(*best))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows.astype(np.int32)), pa.array(ids), pa.array(score), pa.array(place.astype(np.int32))],
+            [pa.array(rows.astype(np.int32)), pa.array(ids), pa.array(score), pa.array(place.astype(np.int64))],
             ["asked", "vec_id", "score", "place"],
         )
 
     return nearest
 
 
-def _lists_for_recall(postings: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int, recall: float) -> int:
-    """How many lists, nearest first, hold the share ``recall`` of the true neighbours of some of the queries.
+def _ratio_for_recall(postings: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int, recall: float) -> float:
+    """Within which ratio of the nearest centroid's distance lie the lists of the share ``recall`` of the true neighbours.
 
-    The true neighbours are those among all rows of the index, so the number follows from its size and data.
+    The true neighbours of some of the queries are those among all rows of the index, so the ratio follows from its
+    size and data.
     """
     distinct = queries.groupBy("vector").agg(F.min("id").alias("id"))
     asked = distinct.orderBy(F.xxhash64("vector"), "id").limit(CALIBRATION_QUERIES).toPandas()
     if recall >= 1 or asked.empty:
-        return len(centroids)
+        return np.inf
     vectors = np.array(asked["vector"].tolist(), float)
-    places = np.argsort(_by_nearness(centroids, vectors), axis=1)
     found = postings.select("list", "id", "vector").mapInArrow(
-        _exact_places(asked["id"].to_numpy(), vectors, places, k), "asked int, vec_id long, score double, place int"
+        _exact_places(asked["id"].to_numpy(), vectors, _ratios(centroids, vectors), k), "asked int, vec_id long, score double, place long"
     )
     once = found.groupBy("asked", "vec_id").agg(F.min(F.struct("score", "place")).alias("best"))
     order = Window.partitionBy("asked").orderBy("best.score", "vec_id")
     true = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("best.place").toPandas()["place"]
     if true.empty:
-        return len(centroids)
-    return int(np.sort(true.to_numpy())[int(np.ceil(recall * len(true))) - 1]) + 1
+        return np.inf
+    largest = int(np.sort(true.to_numpy())[int(np.ceil(recall * len(true))) - 1]) * RATIO_STEP
+    return np.inf if largest >= LARGEST_RATIO else largest
+
+
+def _opened(graph: CentroidGraph, own: np.ndarray, vectors: np.ndarray, ratio: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``vectors`` and the lists they open: those within ``ratio``, and more where these have at most ``k`` rows of their own."""
+    found, waiting, limit = [], np.arange(len(vectors)), ratio
+    while len(waiting):
+        if np.isfinite(limit):
+            rows, ids, _ = graph.within(vectors[waiting], limit)
+        else:
+            rows, ids = (m.ravel() for m in np.indices((len(waiting), len(graph.centroids))))
+        held = np.bincount(rows, weights=own[ids], minlength=len(waiting))
+        enough = (held > k) if np.isfinite(limit) else np.ones(len(waiting), bool)
+        kept = enough[rows]
+        found.append((waiting[rows[kept]], ids[kept]))
+        waiting = waiting[~enough]
+        limit = 1.5 * limit if limit < 100 else np.inf
+    rows, ids = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    order = np.lexsort((ids, rows))
+    return rows[order], ids[order]
 
 
 def _buckets(sizes: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -304,10 +365,10 @@ def nearest_neighbours(
 
     Returns query_id, rank (from 1), vec_id and score, the Euclidean distance in double precision; ties go to
     the smaller id.  A vector goes to at most ``replicas`` lists within ``1 + widen`` of its nearest centroid's
-    distance, none of them nearer to another than ``spread`` times the vector's distance.  A query opens so many lists,
-    nearest first, that the share ``recall`` of the true neighbours is found, as measured by brute force over the
-    whole table for ``CALIBRATION_QUERIES`` of the queries, and always so many that their own rows outnumber ``k``;
-    with ``recall`` 1 all lists, which is exact.  If all rows are fewer than ``k``, all are
+    distance, none of them nearer to another than ``spread`` times the vector's distance.  A query opens the lists whose
+    centroids are within a ratio of its nearest one's distance: the ratio that finds the share ``recall`` of the true
+    neighbours, as measured by brute force over the whole table for ``CALIBRATION_QUERIES`` of the queries, and more
+    until their own rows outnumber ``k``; with ``recall`` 1 all lists, which is exact.  If all rows are fewer than ``k``, all are
     found.  Vectors that are NULL, empty, zero, or hold NULL, NaN or an infinity take no part, nor do NULL
     ids; all others need one length.  Of repeated ids the nearest vector counts once.  An empty table
     gives an empty one; other columns are not looked at.
@@ -338,18 +399,14 @@ def nearest_neighbours(
     parts = np.maximum(1, -(-sizes[0] // share)).astype(np.int32)
 
     queries = usable.where(query_filter(F.col("id")))
-    opened = _lists_for_recall(postings, queries, graph.centroids, k, recall)
+    ratio = _ratio_for_recall(postings, queries, graph.centroids, k, recall)
     bucket_of = _buckets(sizes[0], parts)
     first_part = np.concatenate([[0], np.cumsum(parts)[:-1]])
     buckets, lists = int(bucket_of.max()) + 1, len(graph.centroids)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            ids = _by_nearness(graph.centroids, _matrix(batch.column(1)))
-            held = np.cumsum(sizes[1][ids], axis=1)
-            before = np.hstack([np.zeros((len(held), 1), held.dtype), held[:, :-1]])
-            rows_, places = np.nonzero((np.arange(lists) < opened) | (before <= k))
-            chosen = ids[rows_, places]
+            rows_, chosen = _opened(graph, sizes[1], _matrix(batch.column(1)), ratio, k)
             counts = parts[chosen]
             within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             bucket = bucket_of[np.repeat(first_part[chosen], counts) + within]
