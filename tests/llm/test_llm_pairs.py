@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import ngram_join, postings, registry
@@ -18,7 +19,7 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.context_tree import byte_grams, score_texts
 from tidemark.llm.ngram_join import Bands, least_difference, near_duplicates, near_links, set_keys, sketch
 from tidemark.llm.postings import nearest_neighbours
-from tidemark.llm.surrogates import PATTERN, replace_personal_data, surrogate_table
+from tidemark.llm.surrogates import GIVEN_NAMES, PATTERN, replace_personal_data, surrogate_table
 from tidemark.llm.warc import archive_pages, dechunk, parse_records, reassemble
 from tidemark.session import shared_dir
 
@@ -498,3 +499,46 @@ def test_pipeline_stages_against_brute_force(spark):
     pieces = written["packing"].collect()
     assert {p.doc_id for p in pieces} == set(rows["near_dedup"])
     assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
+
+
+def test_whole_pipeline_keeps_what_the_rules_keep(spark, tmp_path):
+    """``run()`` on a folder of its own, with NULL ids and texts, repeated rows and copies; and on an empty one."""
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    base = [tuple(r) for r in docs.collect()]
+    clean = max((r for r in base if 400 < len(r[1]) < 4_000), key=lambda r: len(set(r[1].split())))
+    words = clean[1].split(" ")
+    changed = " ".join([*words[:20], "zwischen", *words[21:]])
+    mail = " ".join(words[::-1]) + " Write to ann.lee@mail3.example.com today."
+    more = [
+        (9_001, None, "en", "web", 0), (9_002, "", "en", "web", 0), (9_003, changed, "en", "web", len(changed)), (9_003, changed, "en", "web", len(changed)),
+        (9_004, clean[1] + " \n", "en", "web", len(clean[1]) + 2), (None, mail, "en", "web", len(mail)), (9_005, " ".join(words[5:]), None, None, None),
+    ]
+    for name, rows in (("all", base + more), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, docs.schema).write.parquet(str(folder / "documents.parquet"))
+        labels.write.parquet(str(folder / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+    scored = registry.op10_quality_discriminant(spark, str(tmp_path / "all"))
+    score = {r.doc_id: r.score for r in scored.collect()}
+    good = [r for r in base + more if score[r[0]] >= 0.3]
+    assert {None, clean[0], 9_003, 9_004} <= {r[0] for r in good}
+    best = {}
+    for row in sorted(good, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0)):
+        best.setdefault(re.sub(r"[\x20\x09-\x0D]", "", row[1] or ""), row)
+    component, _ = brute_components([(r[0], r[1]) for r in best.values() if r[0] is not None])
+    expected = {r[0]: r for r in best.values() if r[0] is None or component[r[0]] == r[0]}
+    found = corpus_pipeline.run(spark, str(tmp_path / "all")).collect()
+    assert {r.doc_id for r in found} == expected.keys()
+    lengths = {}
+    for piece in found:
+        lengths[piece.doc_id] = lengths.get(piece.doc_id, 0) + piece.length
+        assert piece.doc_tokens >= piece.length
+    assert all(lengths[p.doc_id] == p.doc_tokens for p in found)
+    tokenizer = Tokenizer.from_file(registry.WORD_TOKENIZER)
+    untouched = {k: r for k, r in expected.items() if not re.search(r"[@0-9=]|Mr|Mrs|Ms|Dr|Sir|Don|Señor", r[1] or "")}
+    given = [name for names in GIVEN_NAMES.values() for name in names]
+    plain = {k: r for k, r in untouched.items() if not any(name in (r[1] or "") for name in given)}
+    assert plain and all(lengths[k] == len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for k, r in plain.items())
