@@ -22,6 +22,7 @@ from tidemark.operators.grid import (
     packed_arrays,
     pivot_mean,
     pivot_mean_wide,
+    row_texts,
     variable_arrays,
 )
 from tidemark.operators.marks import equal_depth_cuts, high_water_mark, range_number, read_mark, scan_after
@@ -356,8 +357,9 @@ def grid_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per date with the packed values of all users in order, as text."""
-    axes, chunks = _event_grid(spark, sf_dir, chunk_cells=8192)
-    return _chunk_text(packed_arrays(chunks, ["value"], 2))
+    _, chunks = _event_grid(spark, sf_dir, chunk_cells=8192)
+    whole = row_texts(packed_arrays(chunks, ["value"], 2), "value")
+    return whole.select("row_position", F.lit(0).cast("bigint").alias("block"), F.col("value").alias("packed"))
 
 
 def grid_chunk_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,12 +374,6 @@ def grid_chunk_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _chunk_text(chunks: DataFrame) -> DataFrame:
-    return chunks.select(
-        "row_position", "block", F.array_join(F.col("value").cast("array<string>"), ",").alias("packed")
-    )
-
-
 def grid_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole conversion, written and read back: quantity and price by ship date and line."""
     output = scratch_path(spark, "grid")

@@ -1,8 +1,10 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from helpers import error_text, plan_of, rows
 from tidemark.operators import coordinates, grid
 from tidemark.operators.coordinates import coordinate_values, index_coordinates
@@ -14,6 +16,7 @@ from tidemark.operators.grid import (
     packed_arrays,
     pivot_mean,
     pivot_mean_wide,
+    row_texts,
     variable_arrays,
 )
 from tidemark.plans.to_grid import convert_to_grid, open_grid
@@ -208,6 +211,23 @@ def test_packed_chunks(table):
     assert arrays[1] == [None, 0.125, -9.99]
 
 
+def test_a_row_text_joins_the_blocks_in_order(spark):
+    blocks = spark.createDataFrame([(row, 9 - b, [10 * b, 10 * b + 1]) for row in (0, 1) for b in range(10)], "row_position long, block long, v array<int>")
+    numbers = ",".join(str(n) for b in reversed(range(10)) for n in (10 * b, 10 * b + 1))
+    assert rows(row_texts(blocks.repartition(5), "v")) == [(0, numbers), (1, numbers)]
+
+
+def test_the_chunk_query_has_a_row_a_date_beyond_one_block(spark, tmp_path):
+    columns = "CAST(id AS BIGINT) user_id, timestamp_ntz'2024-01-01' + make_dt_interval(id % 2) AS ts, id / 7D AS value"
+    events = spark.range(9000).repartition(3).selectExpr(*columns.split(", "))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = sorted(map(tuple, registry.grid_chunks(spark, str(tmp_path)).collect()))
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert found == sorted(database.execute(registry.core_oracle_sql()["grid_chunks"]).fetchall())
+    assert [row[:2] for row in found] == [(0, 0), (1, 0)]
+
+
 def test_grid_job(spark, table, tmp_path):
     source, output = str(tmp_path / "source"), str(tmp_path / "grid")
     attach_field_metadata(table, {"v": {"units": "m"}, "place": {"long_name": "Place"}}).write.parquet(source)

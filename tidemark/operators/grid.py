@@ -194,6 +194,18 @@ def packed_arrays(chunks: DataFrame, variables: Sequence[str], precision: int =
     )
 
 
+def row_texts(packed: DataFrame, variable: str, separator: str = ",") -> DataFrame:
+    """One row per grid row ``(row_position, <variable>)``: the values of all its blocks in order, as one text.
+
+    Each block is a text before it is shuffled, so a row gathers one text per block, however long the axis is.
+    """
+    block_text = F.array_join(F.col(f"`{variable}`").cast("array<string>"), separator)
+    gathered = packed.groupBy(ROW).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(BLOCK), block_text.alias("text")))).alias("texts")
+    )
+    return gathered.select(ROW, F.array_join("texts.text", separator).alias(variable))
+
+
 def dense_cells(
     chunks: DataFrame,
     coordinates: Sequence[Coordinates],
