@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import registry
+from tidemark.llm import common, registry
 from tidemark.llm.bpe import PrefixCode, PrefixVocabulary, bpe_encode
 from tidemark.llm.language import codewords, identify_language
 from tidemark.llm.packing import pack_documents, sequence_tokens, shortest_pack_first
@@ -268,3 +269,24 @@ def test_quality_of_hard_rows_and_labels(spark):
     assert len(found) == len(HARD) and all(0 <= row.score <= 1 for row in found)
     assert score_quality(hard(spark, []), labels).collect() == []
     assert {row.score for row in score_quality(hard(spark), labels.limit(0)).collect()} == {0.5}
+
+
+def test_tables_are_written_in_short_batches_and_the_setting_comes_back(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    before = spark.conf.get(common.BATCH_SETTING)
+    counted = spark.range(0, 2_500, 1, 1).mapInArrow(sizes, "n long")
+    assert [row.n for row in common.written(counted, "sizes").collect()] == [1_024, 1_024, 452]
+    assert spark.conf.get(common.BATCH_SETTING) == before
+    assert [row.n for row in counted.collect()] == [2_500]
+
+
+def test_a_process_remembers_for_one_operator_at_a_time():
+    words = common.remembered("a", dict)
+    words["x"] = 1
+    assert common.remembered("a", dict) is words
+    common.remembered("b", dict)
+    assert common.remembered("a", dict) == {}
+    common.forget()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,6 +16,8 @@ from tidemark.sources.storage import Storage
 # The ASCII white space that separates words, and the ASCII capitals that are lowered.
 ASCII_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 ASCII_SPACE_CLASS = r"[\x20\x09-\x0D]"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_024
 LOWER_ASCII = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -52,6 +55,20 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Batches of at most ``rows`` rows between Spark and Python for what runs in this scope; then as many as before.
+
+    Each task holds a batch outside the heap, and its Python process holds it too: of whole texts Spark's 10,000 are much.
+    """
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: lost executors cannot change it.
 
@@ -59,10 +76,30 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with short_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_REMEMBERED: dict[Hashable, Any] = {}
+
+
+def remembered(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a process keeps between tasks under ``key``; made, and what it kept under other keys given up, if it has none.
+
+    Processes are used again by the tasks of the next operator, which would else run beside the words of the one before.
+    """
+    if key not in _REMEMBERED:
+        forget()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
+def forget() -> None:
+    """Give up what the process keeps: for tasks that keep nothing themselves."""
+    _REMEMBERED.clear()
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the decimal text of ``doc_id``, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import LOWER_ASCII, blobs, small, written
+from tidemark.llm.common import LOWER_ASCII, blobs, remembered, small, written
 from tidemark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -43,10 +43,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-@lru_cache(maxsize=1)
 def _word_hashes() -> dict[bytes, int]:
     """Per process: hashes of words met before; emptied when full."""
-    return {}
+    return remembered("word hashes", dict)
 
 
 def hashes_of(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:

@@ -14,8 +14,8 @@ import heapq
 import itertools
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import blobs, small, written
+from tidemark.llm.common import blobs, remembered, small, written
 
 CACHED_WORDS = 1 << 20  # words a process remembers, at most
 PLACE_SCHEMA = "length long, first_rank long, n long, first_sequence long, offset long"
@@ -104,15 +104,12 @@ class WordTokenizer:
             at = stop
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str, added_tokens: bool) -> WordTokenizer:
-    """One per process: the words it has met stay known to later tasks, which learning them anew would cost a third more."""
-    return WordTokenizer(path, added_tokens)
-
-
 def token_bytes(path: str, texts: list[bytes], added_tokens: bool = False) -> list[bytes]:
-    """Ids of each text, each id as a little-endian unsigned 32-bit integer."""
-    return _tokenizer(path, added_tokens).encode(texts)
+    """Ids of each text, each id as a little-endian unsigned 32-bit integer.
+
+    The words a process has met stay known to its later packing tasks, which learning them anew would cost a third more.
+    """
+    return remembered((WordTokenizer, path, added_tokens), lambda: WordTokenizer(path, added_tokens)).encode(texts)
 
 
 def cut_documents(
@@ -123,12 +120,13 @@ def cut_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     added_tokens: bool = False,
+    keep_ids: bool = True,
 ) -> DataFrame:
     """Pieces of at most ``size`` token ids of every whole text, its end id included.
 
     Returns ``id_col``, ``start`` (ids of the document before the piece), ``length``, ``ids`` (binary:
-    little-endian unsigned 32-bit) and ``doc_tokens``.  A NULL text counts as empty: one piece that
-    holds the end id.  NULL ids and repeated rows are kept, other columns are not looked at.
+    little-endian unsigned 32-bit; with ``keep_ids``, else they do not leave the task), ``doc_tokens`` and
+    ``ids_crc32``.  A NULL text counts as empty: one piece that holds the end id.  NULL ids and repeated rows are kept, other columns are not looked at.
     """
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     end, step = end_id.to_bytes(4, "little"), 4 * size
@@ -142,16 +140,17 @@ def cut_documents(
                 total = len(ids) // 4
                 for at in range(0, len(ids), step):
                     part = ids[at : at + step]
-                    rows.append((doc_id, at // 4, len(part) // 4, part, total))
+                    rows.append((doc_id, at // 4, len(part) // 4, total, zlib.crc32(part), part if keep_ids else None))
             if rows:
                 columns = list(zip(*rows))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+                kinds = [pa.int64()] * 5 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                    ["id", "start", "length", "ids", "doc_tokens"],
+                    ["id", "start", "length", "doc_tokens", "ids_crc32", "ids"],
                 )
 
-    found = source.mapInArrow(cut, "id long, start long, length long, ids binary, doc_tokens long")
+    found = source.mapInArrow(cut, "id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary")
+    found = found.select("id", "start", "length", *["ids"] * keep_ids, "doc_tokens", "ids_crc32")
     return found.withColumnRenamed("id", id_col)
 
 
@@ -231,6 +230,6 @@ def pack_documents(
     Returns doc_id, start, length, ids (with ``keep_ids``), ids_crc32, doc_tokens, sequence_id and
     offset.  Cases are those of ``WordTokenizer``, ``cut_documents`` and ``place_pieces``.
     """
-    pieces = cut_documents(docs, tokenizer_path, end_id, size, added_tokens=added_tokens).withColumn("ids_crc32", F.crc32("ids"))
+    pieces = cut_documents(docs, tokenizer_path, end_id, size, added_tokens=added_tokens, keep_ids=keep_ids)
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
     return place_pieces(written(pieces.select(*columns), "pieces"), size)

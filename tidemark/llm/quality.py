@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import blobs, remainder, small, written
+from tidemark.llm.common import blobs, forget, remainder, small, written
 
 BROADCAST_LABELS = 1 << 20  # ids of 8 bytes
 
@@ -80,7 +80,8 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        forget()
+        for batch in small(batches):
             values = np.array([statistics(text or b"") for text in blobs(batch.column(1))]).ravel()
             offsets = np.arange(batch.num_rows + 1) * len(STATISTICS)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.float64()))
@@ -190,6 +191,7 @@ def keep_good(
     place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small(batches):
             x = np.array([statistics(text or b"") for text in blobs(batch.column(place))]).reshape(-1, len(STATISTICS))
             yield batch.filter(pa.array(model.scores(x) >= threshold))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_SPACE, blobs, small, written
+from tidemark.llm.common import ASCII_SPACE, blobs, forget, small, written
 
 # Texts that are cut together: what a task makes of their bytes is several times as large.
 TEXTS_AT_ONCE = 256
@@ -64,6 +64,7 @@ def chunk_ends(places: np.ndarray, start: int, stop: int) -> list[int]:
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (``digest`` random, ``content`` NULL) and of the distinct chunks of some texts."""
+    forget()
     for batch in small(batches, TEXTS_AT_ONCE):
         rows = batch.column(2).to_pylist()
         texts = [(text or b"").translate(None, ASCII_SPACE) for text in blobs(batch.column(1))]
