@@ -18,7 +18,7 @@ import corpus_pipeline
 from tidemark.llm import common, registry
 from tidemark.llm.bpe import PrefixCode, PrefixVocabulary, bpe_encode
 from tidemark.llm.language import codewords, identify_language
-from tidemark.llm.packing import pack_documents, sequence_tokens, shortest_pack_first
+from tidemark.llm.packing import cut_documents, pack_documents, sequence_tokens, shortest_pack_first
 from tidemark.llm.quality import score_quality
 from tidemark.llm.recipes import chunk_ends, cut_places, dedup_exact, keep_distinct_texts
 
@@ -290,3 +290,14 @@ def test_a_process_remembers_for_one_operator_at_a_time():
     common.remembered("b", dict)
     assert common.remembered("a", dict) == {}
     common.forget()
+
+
+def test_without_ids_a_piece_has_the_checksum_of_its_ids_and_no_ids_leave_the_task(spark):
+    docs = hard(spark)
+    names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32"]
+    whole = cut_documents(docs, registry.WORD_TOKENIZER, 2, 16)
+    short = cut_documents(docs, registry.WORD_TOKENIZER, 2, 16, keep_ids=False)
+    assert short.columns == ["doc_id", "start", "length", "doc_tokens", "ids_crc32"]
+    rows = whole.collect()
+    assert sorted(map(repr, short.select(*names).collect())) == sorted(map(repr, whole.select(*names).collect()))
+    assert all(row.ids_crc32 == zlib.crc32(row.ids) for row in rows)
