@@ -6,8 +6,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from tidemark.operators.dedup import dedup_by_key
+from tidemark.sources.publish import write_parquet
 from tidemark.sources.storage import Storage
 from tidemark.streaming.compaction import Compaction
 from tidemark.streaming.distinct import append_distinct, first_per_key
@@ -148,6 +149,25 @@ def test_a_fold_rewrites_only_ranges_it_touches(spark, tmp_path, keys):
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
 
 
+def test_ranges_are_dealt_and_made_unique_by_one_exchange(spark, tmp_path, monkeypatch):
+    plans = []
+
+    def kept(df, path, *args, **options):
+        plans.append(plan_of(df))
+        write_parquet(df, path, *args, **options)
+
+    compaction = compaction_of(spark, tmp_path, file_bytes=512)
+    values = [(k, "abc"[k % 3]) for k in range(400)]
+    deliver(spark, tmp_path / "in", values)
+    compaction.drain()
+    deliver(spark, tmp_path / "in", [(k, "a") for k in range(300, 500)])
+    monkeypatch.setattr("tidemark.streaming.compaction.write_parquet", kept)
+    compaction.drain()
+    assert [plan.count("Exchange") for plan in plans if "__unit" in plan] == [1]
+    expected = dedup_by_key(spark.createDataFrame(values + [(k, "a") for k in range(300, 500)], DDL), ["k"])
+    assert rows(spark.read.parquet(compaction.main)) == rows(expected)
+
+
 def test_null_keys_and_growth_of_a_ranged_main(spark, tmp_path):
     compaction = compaction_of(spark, tmp_path, file_bytes=1_000)
     given = []

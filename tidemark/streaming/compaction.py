@@ -133,9 +133,14 @@ class Compaction:
         return held <= 2 * self.file_bytes * read_ranged(self.spark, self.main).units
 
     def _write_ranges(self, rows: DataFrame, ranged: RangedCheckpoint, path: str) -> None:
-        """Rows of each range, or part of one, in a file of their number, in order."""
-        dealt = rows.withColumn("__unit", ranged.unit(rows)).repartitionById(ranged.units, F.col("__unit")).drop("__unit")
-        write_parquet(dealt.sortWithinPartitions(*sort_order(self.keys)), path, self.codec, self.level, mode="append")
+        """One row per key, those of each range, or part of one, in a file of their number, in order.
+
+        A key's rows lie in one range, so the exchange that deals the rows to their files also brings equal keys together:
+        rows travel once.  Runs and what was made of them are unique, so no key is frequent here.
+        """
+        dealt = rows.withColumn("__unit", ranged.unit(rows)).repartitionById(ranged.units, F.col("__unit"))
+        merged = merge_frame(dealt, ["__unit", *self.keys]).drop("__unit")
+        write_parquet(merged.sortWithinPartitions(*sort_order(self.keys)), path, self.codec, self.level, mode="append")
 
     def _cut_anew(self, storage: Storage, paths: Sequence[str], metadata: dict | None) -> None:
         """Rewrite all of main in ranges of equal depth."""
@@ -146,7 +151,7 @@ class Compaction:
         staged = staging_path(self.main)
         try:
             ranged = start_ranged(self.spark, staged, rows, self.keys, cuts, None, 0, splits)
-            self._write_ranges(merge_frame(rows, self.keys), ranged, staged)
+            self._write_ranges(rows, ranged, staged)
             if metadata:
                 write_metadata(self.spark, staged, metadata)
             swap_in(storage, staged, self.main)
@@ -159,9 +164,8 @@ class Compaction:
         arrived = scan_parquet(self.spark, runs)
         units = {row[0] for row in arrived.select(ranged.unit(arrived)).distinct().collect()}
         old = [file.path for file in storage.children(self.main) if part_number(file.path) in units]
-        merged = merge_frame(scan_parquet(self.spark, [*old, *runs]), self.keys)
         staged = staging_path(self.main)
-        self._write_ranges(merged, ranged, staged)
+        self._write_ranges(scan_parquet(self.spark, [*old, *runs]), ranged, staged)
         # The first task writes an empty file where it has no rows.
         new = [file.path for file in storage.children(staged) if part_number(file.path) in units]
         storage.write_bytes(f"{self._journal}.new", json.dumps({"staged": staged, "add": new, "remove": old}).encode())
